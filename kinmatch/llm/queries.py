@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing
+from . import mixing, packing, secrets
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,5 +17,19 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_packing,)}
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    span = F.transform(F.sequence(F.lit(0), F.size("kinds") - 1), lambda i: F.concat_ws(":", F.get("kinds", i), F.get("starts", i), F.get("ends", i)))
+    spans = F.when(F.size("kinds") > 0, span).otherwise(F.array().cast("array<string>"))
+    found = found.withColumn("all", spans)
+    count = lambda kind: F.size(F.filter("kinds", lambda k: k == kind)).cast("long").alias(f"n_{kind}")
+    base = F.array_join(F.filter("all", lambda s: F.substring_index(s, ":", 1).isin("assign", "access", "hex")), ",")
+    return found.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(base, 256).alias("base_sha256"), F.array_join("all", ",").alias("spans"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_packing, op5_secrets, op9_mixing)}
 ORACLE_SQL: dict[str, str] = {}
