@@ -16,27 +16,64 @@ from . import common
 
 #: str.split() also cuts at these four, which the tokenizer's white space does not hold.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: ASCII marks that are cut off a word's end before it is looked up.
+PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 
 
 class WordIds(dict):
     """Little-endian uint32 ids of white-space delimited words, made on first use.
 
-    The tokenizer's pre-tokens never hold white space, so a text's ids are its words' ids in order. Holds at
-    most `bound` words and starts anew beyond.
+    The tokenizer's pre-tokens never hold white space, so a text's ids are its words' ids in order. A word of
+    letters with punctuation behind it is the letters' ids and the punctuation's. Holds at most `bound` words
+    and starts anew beyond.
     """
 
-    def __init__(self, path: str, bound: int = 600_000):
+    def __init__(self, path: str, bound: int = 700_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.bound = Tokenizer.from_file(path), bound
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a pre-token
+        self.last[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
+        self.letters: dict[str, bytes] = {}
+
+    def spelled(self, words: list[str]) -> None:
+        """Words of letters are one pre-token each: one text of many costs less than many texts."""
+        for at in range(0, len(words), 512):
+            part = words[at : at + 512]
+            ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            raw, ends = ids.tobytes(), (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+            for w, a, z in zip(part, [0, *ends], ends, strict=False):
+                self.letters[w] = raw[a:z]
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer cut a run of letters")
 
     def learn(self, words: set[str]) -> None:
-        new = list(words.difference(self))
+        new = [w for w in words if w not in self]
         if len(self) + len(new) > self.bound:
             self.clear()
+            self.letters.clear()
             new = list(words)
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        known, cut, other = self.letters, [], []
+        for w in new:
+            head = w.rstrip(PUNCTUATION)
+            if head.isalpha() and head.isascii():
+                cut.append((w, head.lower(), w[len(head) :]))
+            else:
+                other.append(w)
+        self.spelled([h for h in {h for _, h, _ in cut} if h not in known])
+        tails = [t for t in {t for _, _, t in cut} if t not in known]
+        for w, e in zip(tails, self.tokenizer.encode_batch_fast(tails, add_special_tokens=False), strict=True):
+            known[w] = np.asarray(e.ids, "<u4").tobytes()
+        for w, h, t in cut:
+            self[w] = known[h] + known[t]
+        alpha = [w for w in other if w.isalpha() and max(w) < "\u0180" and w.lower().isalpha()]
+        self.spelled(alpha)
+        for w in alpha:
+            self[w] = known.pop(w)
+        other = [w for w in other if w not in self]
+        for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
             self[w] = np.asarray(e.ids, "<u4").tobytes()
 
     def of(self, texts: list[str]) -> list[bytes]:

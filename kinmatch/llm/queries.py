@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, secrets
+from . import common, language, mixing, packing, quality, secrets
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,9 +27,22 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(base, 256).alias("base_sha256"), F.array_join("all", ",").alias("spans"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.only(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = language.train(docs.where(~held_out))
+    out = language.identify(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_packing, op5_secrets, op9_mixing)}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "votes", "posterior")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_packing, op5_secrets, op7_language, op9_mixing, op10_quality)}
 ORACLE_SQL: dict[str, str] = {}
