@@ -70,7 +70,7 @@ def rules() -> dict[str, Column]:
         "capitals": _vote(c("n_capitals") * 100 > c("n_letters") * 40, c("n_capitals") * 100 <= c("n_letters") * 15),
         "marks": _vote(c("n_marks") * 100 > c("n_words") * 30, c("n_marks") * 100 <= c("n_words") * 5),
         "variety": _vote((c("n_distinct") * 100 < c("n_words") * 25) & (c("n_words") <= 1500), (c("n_distinct") * 100 >= c("n_words") * 45) & (c("n_words") >= 20)),
-        "letters": _vote(c("n_letters") * 100 < c("word_chars") * 85, c("n_letters") * 100 >= c("word_chars") * 90),
+        "letters": _vote(c("n_letters") * 100 < c("word_chars") * 80, c("n_letters") * 100 >= c("word_chars") * 90),
         "plain": _vote(c("n_plain") * 100 < c("n_words") * 55, c("n_plain") * 100 >= c("n_words") * 85),
         "length": _vote((c("word_chars") < c("n_words") * 2) | (c("word_chars") > c("n_words") * 20), (c("word_chars") >= c("n_words") * 3) & (c("word_chars") <= c("n_words") * 12)),
     }

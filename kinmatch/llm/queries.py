@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, language, mixing, packing, quality, secrets
+from . import common, language, mixing, packing, quality, secrets, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+#: Fixed rules of the query: (verdict, host and path).
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     span = F.transform(F.sequence(F.lit(0), F.size("kinds") - 1), lambda i: F.concat_ws(":", F.get("kinds", i), F.get("starts", i), F.get("ends", i)))
@@ -44,5 +52,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "votes", "posterior")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_packing, op5_secrets, op7_language, op9_mixing, op10_quality)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_packing, op3_urls, op5_secrets, op7_language, op9_mixing, op10_quality)}
 ORACLE_SQL: dict[str, str] = {}
