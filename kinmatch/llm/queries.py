@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, language, mixing, packing, quality, secrets, urls
+from . import common, language, mixing, ngram_join, packing, quality, secrets, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(base, 256).alias("base_sha256"), F.array_join("all", ",").alias("spans"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.only(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -52,5 +56,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "votes", "posterior")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_packing, op3_urls, op5_secrets, op7_language, op9_mixing, op10_quality)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_packing, op3_urls, op5_secrets, op6_ngram_join, op7_language, op9_mixing, op10_quality)}
 ORACLE_SQL: dict[str, str] = {}
