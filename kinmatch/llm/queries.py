@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, language, mixing, ngram_join, packing, quality, secrets, urls
+from . import common, language, mixing, ngram_join, packing, quality, secrets, urls, vector_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op8_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -56,5 +60,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "votes", "posterior")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_packing, op3_urls, op5_secrets, op6_ngram_join, op7_language, op9_mixing, op10_quality)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_packing, op3_urls, op5_secrets, op6_ngram_join, op7_language, op8_vector_dedup, op9_mixing, op10_quality)}
 ORACLE_SQL: dict[str, str] = {}
