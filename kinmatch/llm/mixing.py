@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import heapq
+import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 
+_WORDS = re.compile(common.WORD)
+
 
 def apportion(weights: np.ndarray, seats: int, most: np.ndarray) -> np.ndarray:
     """Sainte-Laguë: seats go to the highest quotients weight / (2 * own seats + 1), none beyond `most`.
@@ -113,3 +118,32 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     rounds = F.floor(F.col("quota") / F.greatest("blocks", F.lit(1)))
     taken = rounds * F.col("size") + overlap(first, F.least(first + run, F.col("blocks"))) + overlap(F.lit(0), first + run - F.col("blocks"))
     return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+
+
+def apply(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Documents as the mix takes them: whole rounds repeat the row, a part of a round has its leading words.
+
+    A document of which nothing is taken goes. Columns stay; n_chars, where there is one, follows the text. Rows
+    that repeat a doc_id take what the largest of them takes.
+    """
+    takes = mixed.groupBy("doc_id").agg(F.max("taken").alias("_taken")).withColumnRenamed("doc_id", "_id").where("_taken > 0")
+    both = docs.join(takes, docs["doc_id"].eqNullSafe(takes["_id"])).drop("_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names = b.schema.names
+            rows, texts = [], []
+            for i, (t, taken) in enumerate(zip(b.column(names.index("text")), b.column(names.index("_taken")), strict=True)):
+                t, left = t.as_py() or "", taken.as_py()
+                ends = [m.end() for m in _WORDS.finditer(t)]
+                while left > 0 and ends:
+                    rows.append(i)
+                    texts.append(t if left >= len(ends) else t[: ends[left - 1]])
+                    left -= len(ends)
+            part = b.take(pa.array(rows, pa.int64()))
+            columns = {n: c for n, c in zip(names, part.columns, strict=True) if n != "_taken"} | {"text": pa.array(texts, pa.string())}
+            if "n_chars" in columns:
+                columns["n_chars"] = pa.array(list(map(len, texts)), pa.int64()).cast(columns["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return both.mapInArrow(run, docs.schema)

@@ -20,6 +20,13 @@ _SEPARATORS = "\x1c\x1d\x1e\x1f"
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 
 
+def byte_letters(text: str) -> str:
+    """The printable letters that stand for a text's bytes in a byte-level vocabulary."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return "".join(chr(b) if b in plain else chr(256 + rest.index(b)) for b in text.encode())
+
+
 class WordIds(dict):
     """Little-endian uint32 ids of white-space delimited words, made on first use.
 
@@ -30,9 +37,14 @@ class WordIds(dict):
 
     def __init__(self, path: str, bound: int = 700_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer, self.bound = Tokenizer.from_file(path), bound
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # the same merges for words of letters alone, which need no normaliser and no pattern
+        self.merges = Tokenizer.from_file(path)
+        self.merges.normalizer, self.merges.pre_tokenizer = None, WhitespaceSplit()
+        self.alphabet = {i: byte_letters(chr(i)) for i in range(128, 0x180)}
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a pre-token
         self.last[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
@@ -42,7 +54,8 @@ class WordIds(dict):
         """Words of letters are one pre-token each: one text of many costs less than many texts."""
         for at in range(0, len(words), 512):
             part = words[at : at + 512]
-            ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            text = " ".join(part).translate(self.alphabet)
+            ids = np.asarray(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             raw, ends = ids.tobytes(), (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
             for w, a, z in zip(part, [0, *ends], ends, strict=False):
                 self.letters[w] = raw[a:z]
@@ -50,16 +63,15 @@ class WordIds(dict):
                 raise ValueError("the tokenizer cut a run of letters")
 
     def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > self.bound:
+        """Makes the ids of new lower-case words."""
+        if len(self) + len(words) > self.bound:
             self.clear()
             self.letters.clear()
-            new = list(words)
         known, cut, other = self.letters, [], []
-        for w in new:
+        for w in words:
             head = w.rstrip(PUNCTUATION)
-            if head.isalpha() and head.isascii():
-                cut.append((w, head.lower(), w[len(head) :]))
+            if head.isalpha() and (head.isascii() or max(head) < "\u0180"):
+                cut.append((w, head, w[len(head) :]))
             else:
                 other.append(w)
         self.spelled([h for h in {h for _, h, _ in cut} if h not in known])
@@ -68,19 +80,30 @@ class WordIds(dict):
             known[w] = np.asarray(e.ids, "<u4").tobytes()
         for w, h, t in cut:
             self[w] = known[h] + known[t]
-        alpha = [w for w in other if w.isalpha() and max(w) < "\u0180" and w.lower().isalpha()]
-        self.spelled(alpha)
-        for w in alpha:
-            self[w] = known.pop(w)
-        other = [w for w in other if w not in self]
         for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
             self[w] = np.asarray(e.ids, "<u4").tobytes()
 
     def of(self, texts: list[str]) -> list[bytes]:
-        parts = [None if any(s in t for s in _SEPARATORS) else t.split() for t in texts]
-        self.learn(set().union(*(p for p in parts if p)))
-        get = self.__getitem__
-        return [self.whole(t) if p is None else b"".join(map(get, p)) for t, p in zip(texts, parts, strict=True)]
+        """Ids of texts. Lower case first makes words meet; only a final sigma depends on what stands around."""
+        get, out, waiting, new = self.get, [], [], set()
+        for i, t in enumerate(texts):
+            if "\u03a3" in t or any(s in t for s in _SEPARATORS):
+                out.append(self.whole(t))
+                continue
+            words = t.lower().split()
+            ids = list(map(get, words))
+            missed = [w for w, x in zip(words, ids, strict=True) if x is None]
+            if missed:
+                new.update(missed)
+                waiting.append((i, words, ids))
+                out.append(b"")
+            else:
+                out.append(b"".join(ids))
+        if new:
+            self.learn(new)
+            for i, words, ids in waiting:
+                out[i] = b"".join([self[w] if x is None else x for w, x in zip(words, ids, strict=True)])
+        return out
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
