@@ -35,7 +35,7 @@ class WordIds(dict):
     and starts anew beyond.
     """
 
-    def __init__(self, path: str, bound: int = 700_000):
+    def __init__(self, path: str, bound: int = 1_100_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
