@@ -24,7 +24,7 @@ COUNTERS = 1 << 20
 #: Bits of the table that says which documents a verification needs; more of it passes when it fills up.
 ID_BITS = 1 << 22
 #: Bins of the suffix filter.
-BINS = 16
+BINS = 128
 
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 
@@ -33,15 +33,12 @@ class WordHashes(dict):
     """64-bit hashes of words, kept up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 600_000:
+        if len(self) >= 400_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
 
 
-_HASHES = WordHashes()
-
-
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * _C[4]
     return h ^ (h >> np.uint64(29))
@@ -55,7 +52,8 @@ def shingles(text: str | None, k: int) -> np.ndarray:
     words = (text or "").encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    hashes = common.held("word hashes", WordHashes)
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     if len(words) < k:
         digest = hashlib.blake2b(b"\x20".join(words), digest_size=8, person=b"short%d" % k).digest()
         return np.frombuffer(digest, "<u8").copy()
@@ -66,32 +64,44 @@ def shingles(text: str | None, k: int) -> np.ndarray:
     return np.unique(_mix(s))
 
 
-def counted(df: DataFrame, keys: Callable[[dict], Iterator[np.ndarray]], size: int) -> np.ndarray:
-    """How many keys fall on each of `size` counters: summed in every task, then by slices of the table.
+def counted(df: DataFrame, keys: Callable[[dict], Iterator[np.ndarray]], size: int, bits: bool = False) -> np.ndarray:
+    """How many keys fall on each of `size` counters (bits: whether any does), as uint32 or as packed bits.
 
-    The driver gets the table alone, of a size that doesn't depend on the input.
+    Every task sums its own table and hands it on in slices; a slice is summed by one task. The driver gets the
+    table alone, of a size that doesn't depend on the input.
     """
-    slices = 16
+    slices = 256
     step = size // slices
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        table = np.zeros(size, np.int64)
+        table = np.zeros(size, bool if bits else np.uint32)
         for b in batches:
             for k in keys(b):
-                table += np.bincount((k & np.uint64(size - 1)).astype(np.int64), minlength=size)
-        for i in range(slices):
-            yield {"slice": [i], "counts": [np.minimum(table[i * step : (i + 1) * step], 2**31 - 1).astype("<u4").tobytes()]}
+                at = (k & np.uint64(size - 1)).astype(np.int64)
+                if bits:
+                    table[at] = True
+                else:
+                    np.add.at(table, at, 1)
+        cut = [table[i * step : (i + 1) * step] for i in range(slices)]
+        yield {"slice": list(range(slices)), "counts": [(np.packbits(c) if bits else c).tobytes() for c in cut]}
 
     def add(x: pa.Table) -> pa.Table:
-        total = np.zeros(step, np.int64)
+        total = np.zeros(step // 8 if bits else step, np.uint8 if bits else np.uint64)
         for c in x["counts"]:
-            total += np.frombuffer(c.as_buffer(), "<u4")
-        return pa.table({"slice": x["slice"][:1], "counts": pa.array([np.minimum(total, 2**31 - 1).astype("<u4").tobytes()], pa.binary())})
+            if bits:
+                total |= np.frombuffer(c.as_buffer(), np.uint8)
+            else:
+                total += np.frombuffer(c.as_buffer(), np.uint32)
+        if not bits:
+            total = np.minimum(total, 2**32 - 1).astype(np.uint32)
+        return pa.table({"slice": x["slice"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
     parts = common.map_batches(df, run, "slice int, counts binary").groupBy("slice").applyInArrow(add, "slice int, counts binary").collect()
-    out = np.zeros(size, np.uint32)
+    kind = np.uint8 if bits else np.uint32
+    out = np.zeros(size // 8 if bits else size, kind)
     for r in parts:
-        out[r["slice"] * step : (r["slice"] + 1) * step] = np.frombuffer(r["counts"], "<u4")
+        part = np.frombuffer(r["counts"], kind)
+        out[r["slice"] * len(part) : (r["slice"] + 1) * len(part)] = part
     return out
 
 
@@ -101,7 +111,8 @@ def _batched(x: pa.Array, size: int = 64) -> Iterator:
 
 
 def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(doc_id, n, d1, d2, prefix): set size, 128-bit digest of the set, and its rarest shingles in order."""
+    """(doc_id, n, d1, d2, prefix, bins): set size, 128-bit digest of the set, its rarest shingles in order, and how
+    many of its shingles fall on each bin."""
 
     def keys(b: dict) -> Iterator[np.ndarray]:
         some: list[np.ndarray] = []
@@ -118,7 +129,7 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         table = shared.value
         for b in batches:
-            n, d1, d2, prefix = [], [], [], []
+            n, d1, d2, prefix, bins = [], [], [], [], []
             for t in _batched(b["text"]):
                 s = shingles(t, k)
                 a, z = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), "<i8").tolist()
@@ -134,9 +145,10 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 d1.append(a)
                 d2.append(z)
                 prefix.append(s[order].view(np.int64))
-            yield {"doc_id": b["doc_id"], "n": n, "d1": d1, "d2": d2, "prefix": prefix}
+                bins.append(np.minimum(np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=BINS), 32767).astype(np.int16))
+            yield {"doc_id": b["doc_id"], "n": n, "d1": d1, "d2": d2, "prefix": prefix, "bins": bins}
 
-    return common.map_batches(docs, run, "doc_id long, n int, d1 long, d2 long, prefix array<long>")
+    return common.map_batches(docs, run, "doc_id long, n int, d1 long, d2 long, prefix array<long>, bins array<smallint>")
 
 
 def _overlap(percent: int, a: str, b: str) -> Column:
@@ -144,50 +156,59 @@ def _overlap(percent: int, a: str, b: str) -> Column:
     return F.ceil(F.lit(percent) * (F.col(a) + F.col(b)) / F.lit(100 + percent))
 
 
-def _filtered(pairs: DataFrame, percent: int) -> DataFrame:
-    """Length and positional filters on (doc, n, pos, other, other_n, other_pos); distinct (u, v, need)."""
+def _filtered(pairs: DataFrame, percent: int, further: Column | None = None) -> DataFrame:
+    """Length and positional filters, and another, on (doc, n, pos, other, other_n, other_pos); distinct (doc, other, need)."""
     ends = F.least(F.col("n") - F.col("pos"), F.col("other_n") - F.col("other_pos"))  # the shared shingle and what follows
     before = F.least("pos", "other_pos")
     pairs = pairs.where((F.col("doc") != F.col("other")) & (F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent))
     pairs = pairs.where(before + ends >= _overlap(percent, "n", "other_n"))
-    return pairs.select(F.least("doc", "other").alias("u"), F.greatest("doc", "other").alias("v"), _overlap(percent, "n", "other_n").cast("int").alias("need")).distinct()
+    pairs = pairs if further is None else pairs.where(further)
+    return pairs.select("doc", "other", _overlap(percent, "n", "other_n").cast("int").alias("need")).distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """Of the pairs (u, v, need), those whose sets meet in `need` shingles at least.
+def _close(a: str, b: str, sizes: Column, need: Column) -> Column:
+    """Suffix filter: the counts of the bins differ at most as much as sets that meet in `need` may."""
+    differ = F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+    return sizes - differ >= 2 * need
 
-    The sets of the documents that a bit table of their ids lets through are made from the texts again. The
-    suffix filter looks at bins first: the difference of their counts bounds that of the sets from below.
-    """
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+
+def _suffix_filtered(pairs: DataFrame, bins: DataFrame) -> DataFrame:
+    a = bins.select(F.col("doc"), F.col("n").alias("na"), F.col("bins").alias("ba"))
+    b = bins.select(F.col("doc").alias("other"), F.col("n").alias("nb"), F.col("bins").alias("bb"))
+    both = pairs.join(a, "doc").join(b, "other")
+    return both.where(_close("ba", "bb", F.col("na") + F.col("nb"), F.col("need"))).select("doc", "other", "need")
+
+
+def _sets(docs: DataFrame, ids: DataFrame, k: int, name: str) -> DataFrame:
+    """(name, name_set) of the documents that a bit table of the ids lets through, made from the texts again."""
 
     def keys(b: dict) -> Iterator[np.ndarray]:
         yield _mix(b["id"].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
 
-    bits = docs.sparkSession.sparkContext.broadcast(np.packbits(counted(ids, keys, ID_BITS) > 0))
+    bits = docs.sparkSession.sparkContext.broadcast(counted(ids, keys, ID_BITS, bits=True))
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        table = np.unpackbits(bits.value)
+        table = bits.value
         for b in batches:
             at = (_mix(b["doc_id"].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) & np.uint64(ID_BITS - 1)).astype(np.int64)
-            take = pa.array(np.flatnonzero(table[at]))
+            take = pa.array(np.flatnonzero(table[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1))
             for i in range(0, len(take), 256):
                 part = take[i : i + 256]
-                sets = [shingles(t, k) for t in b["text"].take(part).to_pylist()]
-                yield {"doc_id": b["doc_id"].take(part), "shingles": [s.view(np.int64) for s in sets], "bins": [np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=BINS) for s in sets]}
+                yield {name: b["doc_id"].take(part), f"{name}_set": [shingles(t, k).view(np.int64) for t in b["text"].take(part).to_pylist()]}
+
+    return common.map_batches(docs, run, f"{name} long, {name}_set array<long>")
 
-    sets = common.map_batches(docs, run, "doc_id long, shingles array<long>, bins array<int>")
-    # the table lets others through, and a doc_id may stand on several rows with different texts
-    sets = common.scratch(sets.dropDuplicates(["doc_id"]), "sets")
-    a = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su"), F.col("bins").alias("bu"))
-    b = sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv"), F.col("bins").alias("bv"))
-    both = pairs.join(a, "u").join(b, "v")
-    differ = F.aggregate(F.zip_with("bu", "bv", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    may = F.size("su") + F.size("sv") - differ >= 2 * F.col("need")
-    return both.where(F.when(may, F.size(F.array_intersect("su", "sv")) >= F.col("need")).otherwise(False)).select("u", "v")
+
+def _verified(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """Of the pairs (doc, other, need), the links (u, v): those whose sets meet in `need` shingles at least."""
+    others = _sets(docs, pairs.select(F.col("other").alias("id")).distinct(), k, "other")
+    own = _sets(docs, pairs.select(F.col("doc").alias("id")).distinct(), k, "doc")
+    both = pairs.join(others, "other").join(own, "doc")
+    links = both.where(F.size(F.array_intersect("doc_set", "other_set")) >= F.col("need"))
+    return links.select(F.least("doc", "other").alias("u"), F.greatest("doc", "other").alias("v"))
 
 
-def join(docs: DataFrame, k: int = 5, percent: int = 80, rounds: int = 8) -> DataFrame:
+def join(docs: DataFrame, k: int = 5, percent: int = 80, rounds: int = 3, small_bucket: int = 8) -> DataFrame:
     """Groups of documents (doc_id, text) that links of Jaccard similarity `percent` / 100 or more connect.
 
     Returns one row per document: doc_id, n_shingles (set size) and component_id (smallest doc_id that links
@@ -198,9 +219,10 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, rounds: int = 8) -> Dat
     docs = common.only(docs, "doc_id", "text")
     sig = common.scratch(signatures(docs, k, percent), "signatures")
     named = sig.where("doc_id IS NOT NULL AND n > 0")
-    classes = common.scratch(named.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "classes")
+    classes = common.scratch(named.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bins").alias("bins")), "classes")
+    bins = classes.select("doc", "n", "bins")
     index = classes.select("doc", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = index.groupBy("token").count().where("count > 1").drop("count")
+    shared = index.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
     shared = common.scratch(index.join(shared, "token"), "shared")
     known = docs.where("doc_id IS NOT NULL")
     edges = checked = common.empty(docs.sparkSession, "u long, v long")
@@ -208,39 +230,43 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, rounds: int = 8) -> Dat
 
     def compare(pairs: DataFrame) -> None:
         nonlocal edges, checked, component
-        pairs = common.scratch(pairs.join(checked, ["u", "v"], "left_anti"), "pairs")
+        pairs = pairs.withColumns({"u": F.least("doc", "other"), "v": F.greatest("doc", "other")})
+        pairs = _suffix_filtered(pairs.join(checked, ["u", "v"], "left_anti").dropDuplicates(["u", "v"]), bins)
+        pairs = common.scratch(pairs, "pairs")
         if not pairs.take(1):
             return
         edges = edges.unionAll(common.scratch(_verified(pairs, known, k), "links"))
-        checked = checked.unionAll(pairs.select("u", "v"))
+        checked = checked.unionAll(pairs.select(F.least("doc", "other").alias("u"), F.greatest("doc", "other").alias("v")))
         component = common.scratch(common.components(edges), "component")
 
-    rows = open_ = shared
-    for r in range(rounds + 1):
-        if r:
-            labelled = shared.join(component.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-            labelled = common.scratch(labelled, "labelled")
-            per = labelled.groupBy("token", "component").agg(F.count("*").alias("c"))
-            per = per.groupBy("token").agg(F.sum("c").alias("rows"), F.max(F.struct("c", "component")).alias("most")).where("most.c < rows")
-            per = common.scratch(per.select("token", "rows", F.col("most.c").alias("c"), F.col("most.component").alias("main")), "open")
-            left, all_ = per.agg(F.sum((F.col("rows") - F.col("c")) * F.col("rows")), F.sum("rows")).first()
-            if left is None:
-                break
-            rows = common.scratch(labelled.join(per, "token"), "rows")
-            if left <= 8 * all_ or r == rounds:
-                others = rows.select("token", F.col("doc").alias("other"), F.col("n").alias("other_n"), F.col("pos").alias("other_pos"), F.col("component").alias("other_component"))
-                rest = rows.where("component <> main").join(others, "token").where("component <> other_component")
-                compare(_filtered(rest, percent))
-                break
-        # the first hub of a group is the same in all its buckets, which makes few pairs; later ones differ
-        salt = [F.lit(r)] if r < 2 else [F.col("token"), F.lit(r)]
+    def others(rows: DataFrame, *more: str) -> DataFrame:
+        return rows.select("token", *(F.col(c).alias(o) for c, o in (("doc", "other"), ("n", "other_n"), ("pos", "other_pos"), *((m, f"other_{m}") for m in more))))
+
+    def with_hub(rows: DataFrame, *salt: Column) -> DataFrame:
         hub = F.min(F.struct(F.xxhash64("doc", *salt).alias("at"), F.col("doc").alias("other"), F.col("n").alias("other_n"), F.col("pos").alias("other_pos"))).alias("hub")
-        hubs = common.scratch(rows.groupBy("token").agg(hub).select("token", "hub.*"), "hubs")
-        pairs = rows.join(hubs, "token")
-        if r:
-            pairs = pairs.join(component.select(F.col("node").alias("other"), F.col("component").alias("other_component")), "other", "left")
-            pairs = pairs.where(F.col("component") != F.coalesce("other_component", "other"))
-        compare(_filtered(pairs, percent))
+        return rows.join(common.scratch(rows.groupBy("token").agg(hub).select("token", "hub.*"), "hubs"), "token")
+
+    # small buckets whole; of a large one each with the hub, which is the same one in all buckets of a group
+    small = shared.where(F.col("rows") <= small_bucket)
+    large = shared.where(F.col("rows") > small_bucket)
+    compare(_filtered(small.join(others(small), "token").where("doc < other"), percent).unionAll(_filtered(with_hub(large), percent)).distinct())
+    for r in range(1, rounds + 1):
+        labelled = large.join(component.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        labelled = common.scratch(labelled, "labelled")
+        per = labelled.groupBy("token", "component").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("all"), F.max(F.struct("c", "component")).alias("most"))
+        per = common.scratch(per.where("most.c < all").select("token", F.col("most.component").alias("main")), "open")
+        if not per.take(1):
+            break
+        rows = common.scratch(labelled.join(per, "token").join(bins.select("doc", "bins"), "doc"), "rows")
+        close = _close("bins", "other_bins", F.col("n") + F.col("other_n"), _overlap(percent, "n", "other_n"))
+        if r == rounds:
+            # what stands outside a bucket's main component meets all of the bucket
+            rest = rows.where("component <> main").join(others(rows, "component", "bins"), "token").where("component <> other_component")
+            compare(_filtered(rest, percent, close))
+        else:
+            # another hub in every bucket
+            pairs = with_hub(rows, F.col("token"), F.lit(r)).join(component.select(F.col("node").alias("other"), F.col("component").alias("other_component")), "other", "left")
+            compare(_filtered(pairs.where(F.col("component") != F.coalesce("other_component", "other")), percent))
 
     label = classes.select("d1", "d2", "doc").join(component.withColumnRenamed("node", "doc"), "doc", "left")
     label = common.scratch(label.select("d1", "d2", F.coalesce("component", "doc").alias("component")), "labels")
