@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -70,6 +71,18 @@ def pa_schema(spark: SparkSession, schema: str) -> pa.Schema:
     return to_arrow_schema(T.StructType.fromDDL(schema))
 
 
+_HELD: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], object]) -> object:
+    """What a worker keeps between tasks, one thing at a time: another operator's cache goes first."""
+    if name not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable over edges (u, v), for every node of an edge.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -35,7 +36,7 @@ class WordIds(dict):
     and starts anew beyond.
     """
 
-    def __init__(self, path: str, bound: int = 1_100_000):
+    def __init__(self, path: str, bound: int = 900_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
@@ -109,14 +110,9 @@ class WordIds(dict):
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-_WORDS: dict[str, WordIds] = {}
-
-
 def words_of(path: str) -> WordIds:
-    import os
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return _WORDS[path] if path in _WORDS else _WORDS.setdefault(path, WordIds(path))
+    return common.held(f"words {path}", lambda: WordIds(path))
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, window: int, tail: int, end_id: int = 1) -> DataFrame:

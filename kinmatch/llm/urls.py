@@ -87,11 +87,8 @@ class Segmenter:
         return found
 
 
-_SEGMENTERS: dict[str, Segmenter] = {}
-
-
 def segmenter(path: str) -> Segmenter:
-    return _SEGMENTERS[path] if path in _SEGMENTERS else _SEGMENTERS.setdefault(path, Segmenter(path))
+    return common.held(f"segmenter {path}", lambda: Segmenter(path))
 
 
 def weights(counted: dict[str, tuple[int, int]], urls: tuple[int, int]) -> tuple[float, dict[str, float]]:
