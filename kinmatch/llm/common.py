@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +84,47 @@ def held(name: str, make: Callable[[], object]) -> object:
     return _HELD[name]
 
 
+def counted(df: DataFrame, keys: Callable[[dict], Iterator[np.ndarray]], size: int, bits: bool = False) -> np.ndarray:
+    """How many keys fall on each of `size` counters (bits: whether any does), as uint32 or as packed bits.
+
+    Every task sums its own table and hands it on in slices; a slice is summed by one task. The driver gets the
+    table alone, of a size that doesn't depend on the input.
+    """
+    slices = 256
+    step = size // slices
+
+    def run(batches: Iterator[dict]) -> Iterator[dict]:
+        table = np.zeros(size, bool if bits else np.uint32)
+        for b in batches:
+            for k in keys(b):
+                at = (k & np.uint64(size - 1)).astype(np.int64)
+                if bits:
+                    table[at] = True
+                else:
+                    np.add.at(table, at, 1)
+        cut = [table[i * step : (i + 1) * step] for i in range(slices)]
+        yield {"slice": list(range(slices)), "counts": [(np.packbits(c) if bits else c).tobytes() for c in cut]}
+
+    def add(x: pa.Table) -> pa.Table:
+        total = np.zeros(step // 8 if bits else step, np.uint8 if bits else np.uint64)
+        for c in x["counts"]:
+            if bits:
+                total |= np.frombuffer(c.as_buffer(), np.uint8)
+            else:
+                total += np.frombuffer(c.as_buffer(), np.uint32)
+        if not bits:
+            total = np.minimum(total, 2**32 - 1).astype(np.uint32)
+        return pa.table({"slice": x["slice"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    parts = map_batches(df, run, "slice int, counts binary").groupBy("slice").applyInArrow(add, "slice int, counts binary").collect()
+    kind = np.uint8 if bits else np.uint32
+    out = np.zeros(size // 8 if bits else size, kind)
+    for r in parts:
+        part = np.frombuffer(r["counts"], kind)
+        out[r["slice"] * len(part) : (r["slice"] + 1) * len(part)] = part
+    return out
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable over edges (u, v), for every node of an edge.
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+import itertools
+import struct
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,25 +19,26 @@ from . import common
 MASK = (1 << 64) - 1
 #: Odd multiplier of the rolling hash.
 ROLL = 0x9E3779B97F4A7C15
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Blank and \t \n \v \f \r: a line of these alone holds no word.
+BLANKS = " \t\n\x0b\x0c\r"
 
 
-def chunks(lines: list[str], width: int, spread: int, most: int) -> list[int]:
+def chunks(hashes: list[int], width: int, spread: int, most: int, seed: int = 0) -> list[int]:
     """Ends (exclusive) of the chunks of lines, each of two lines or more where there are two.
 
     A polynomial hash rolls over the hashes of the last `width` lines; a line ends a chunk where it is 0 modulo
     `spread`, unless the chunk would have one line, and a chunk never has more than `most` lines. Borders depend
-    on the lines near them, so an inserted line moves none behind the next border that both texts take.
+    on the lines near them, so an inserted line moves none behind the next border that both texts take. Another
+    seed gives other borders.
     """
-    out, roll, drop = [], 0, pow(ROLL, width, 1 << 64)
-    hashes = [xxhash.xxh64_intdigest(x) for x in lines]
-    start, n = 0, len(lines)
+    out, roll, drop, mix = [], 0, pow(ROLL, width, 1 << 64), (2 * seed + 1) * 0xD6E8FEB86659FD93 & MASK
+    start, n = 0, len(hashes)
     for i, h in enumerate(hashes):
         roll = (roll * ROLL + h) & MASK
         if i >= width:
             roll = (roll - drop * hashes[i - width]) & MASK
         size = i + 1 - start
-        if (size > 1 and (roll >> 17) % spread == 0) or size >= most:
+        if size >= most or (size > 1 and ((roll * mix & MASK) >> 40) % spread == 0):
             out.append(i + 1)
             start = i + 1
     if start < n:
@@ -44,70 +49,118 @@ def chunks(lines: list[str], width: int, spread: int, most: int) -> list[int]:
     return out
 
 
-def _cut(text: str, width: int, spread: int, most: int) -> list[tuple[int, int, int]]:
-    """(first line, end line, code of the chunk's bytes) of chunks with two lines that hold a word, or more."""
+def cut(text: str, shape: Shape) -> list[tuple[int, int, int]]:
+    """(first line, end line, code of the chunk's lines) of all chunkings' chunks with two lines that hold a word."""
     lines = text.split("\n")
-    out, a = [], 0
-    for z in chunks(lines, width, spread, most):
-        if z - a > 1 and sum(1 for x in lines[a:z] if _WORD.search(x)) > 1:
-            out.append((a, z, xxhash.xxh64_intdigest("\n".join(lines[a:z])) - (1 << 63)))
-        a = z
-    return out
+    hashes = [xxhash.xxh64_intdigest(x) for x in lines]
+    packed = struct.pack(f"<{len(hashes)}Q", *hashes)
+    words = [0, *itertools.accumulate(bool(x.strip(BLANKS)) for x in lines)]
+    spans = set()
+    for seed in range(shape.chunkings):
+        a = 0
+        for z in chunks(hashes, shape.width, shape.spread, shape.most, seed):
+            if words[z] - words[a] > 1:
+                spans.add((a, z))
+            a = z
+    return [(a, z, xxhash.xxh64_intdigest(packed[8 * a : 8 * z]) - (1 << 63)) for a, z in sorted(spans)]
+
+
+@dataclass(frozen=True)
+class Shape:
+    """How lines are cut: see chunks(). Chunkings with different borders find more of a passage's ends."""
+
+    width: int = 2
+    spread: int = 2
+    most: int = 12
+    chunkings: int = 3
+
 
+def _each(batches: Iterator[dict], shape: Shape) -> Iterator[tuple[int | None, str, list]]:
+    """(doc_id, text, chunks) of the texts that have more than one line."""
+    for b in batches:
+        for doc, t in zip(b["doc_id"], b["text"], strict=True):
+            t = t.as_py()
+            if t and "\n" in t and (spans := cut(t, shape)):
+                yield doc.as_py(), t, spans
 
-def repeated(docs: DataFrame, width: int, spread: int, most: int) -> DataFrame:
-    """(code, doc_id): the smallest document of every chunk that stands in two places or more.
 
-    Chunks are grouped by code and bytes; a code that two different chunks share is left out, so that the code
-    alone tells the bytes afterwards.
+def _keys(codes: np.ndarray) -> np.ndarray:
+    return codes.astype(np.int64).view(np.uint64) >> np.uint64(7)
+
+
+def _collected(rows: Iterator[tuple], names: tuple[str, ...], size: int = 4096) -> Iterator[dict[str, list]]:
+    while part := list(itertools.islice(rows, size)):
+        yield dict(zip(names, map(list, zip(*part, strict=True)), strict=True))
+
+
+def repeated(docs: DataFrame, shape: Shape) -> tuple[DataFrame, Broadcast]:
+    """((code, doc_id) of the chunks that stand in two places or more with their smallest document, bit table).
+
+    Codes are counted first. The bytes of those that repeat are then compared: chunks are grouped by code and
+    bytes, and a code that two different chunks share is left out, so that afterwards the code alone tells the
+    bytes. The bit table, of a fixed size, lets repeated codes through and few others.
     """
+    spark = docs.sparkSession
 
-    def run(batches: Iterator[dict]) -> Iterator[dict]:
-        for b in batches:
-            ids = b["doc_id"].to_pylist()
-            for at in range(0, len(ids), 256):
-                out: dict[str, list] = {k: [] for k in ("code", "bytes", "doc_id")}
-                for doc, t in zip(ids[at : at + 256], b["text"][at : at + 256].to_pylist(), strict=True):
-                    if t and "\n" in t:
-                        lines = t.split("\n")
-                        for a, z, code in _cut(t, width, spread, most):
-                            out["code"].append(code)
-                            out["bytes"].append("\n".join(lines[a:z]).encode())
-                            out["doc_id"].append(doc)
-                yield out
-
-    cut = common.map_batches(docs, run, "code long, bytes binary, doc_id long")
-    same = cut.groupBy("code", "bytes").agg(F.count("*").alias("places"), F.min("doc_id").alias("doc_id"))
+    def codes(batches: Iterator[dict]) -> Iterator[dict]:
+        yield from _collected(((c,) for _, _, spans in _each(batches, shape) for _, _, c in spans), ("code",))
+
+    again = common.scratch(common.map_batches(docs, codes, "code long").groupBy("code").count().where("count > 1").select("code"), "codes")
+
+    def keys(b: dict) -> Iterator[np.ndarray]:
+        yield _keys(b["code"].to_numpy())
+
+    bits = spark.sparkContext.broadcast(common.counted(again, keys, BITS, bits=True))
+
+    def whole(batches: Iterator[dict]) -> Iterator[dict]:
+        seen = _seen(bits.value)
+        rows = ((c, "\n".join(lines[a:z]).encode(), doc) for doc, t, spans in _each(batches, shape) if (hits := [x for x in spans if seen(x[2])]) for lines in [t.split("\n")] for a, z, c in hits)
+        yield from _collected(rows, ("code", "bytes", "doc_id"), 512)
+
+    same = common.map_batches(docs, whole, "code long, bytes binary, doc_id long").groupBy("code", "bytes").agg(F.count("*").alias("places"), F.min("doc_id").alias("doc_id"))
     one = same.groupBy("code").agg(F.count("*").alias("texts"), F.sum("places").alias("places"), F.min("doc_id").alias("doc_id"))
-    return common.scratch(one.where("texts = 1 AND places > 1").select("code", "doc_id"), "repeated")
+    return common.scratch(one.where("texts = 1 AND places > 1").select("code", "doc_id"), "repeated"), bits
+
+
+#: Bits of the table of repeated codes; more codes pass it when it fills up, and no result depends on it.
+BITS = 1 << 22
+
 
+def _seen(table: np.ndarray) -> Callable[[int], int]:
+    """Whether the bit of a code is set."""
+    raw = table.tobytes()
 
-def dedup(docs: DataFrame, width: int = 2, spread: int = 2, most: int = 12) -> DataFrame:
+    def look(code: int) -> int:
+        at = ((code & MASK) >> 7) & (BITS - 1)
+        return raw[at >> 3] >> (7 - (at & 7)) & 1
+
+    return look
+
+
+def dedup(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     """Removes multi-line chunks that repeat across the corpus, but for the first place of each.
 
-    First is the smallest (doc_id, line). All columns of the documents stay, text without the removed lines;
-    two more are added: lines_removed and lines_kept. A null text stays null and counts no line; a row with a
-    null doc_id keeps all its lines. Columns of the input with the added names are replaced. Rows that repeat a
-    doc_id lose and keep the same. An empty table gives no rows.
+    First is the smallest doc_id, and there the first line. Lines are removed towards smaller places alone, so
+    some place keeps every line. All columns of the documents stay, text without the removed lines; two more are
+    added: lines_removed and lines_kept. A null text stays null and counts no line; a row with a null doc_id
+    keeps all its lines. Columns of the input with the added names are replaced. Rows that repeat a doc_id lose
+    and keep the same. An empty table gives no rows.
     """
     docs = docs.drop("lines_removed", "lines_kept")
-    first = repeated(common.only(docs, "doc_id", "text"), width, spread, most)
+    first, bits = repeated(common.only(docs, "doc_id", "text"), shape)
 
     def places(batches: Iterator[dict]) -> Iterator[dict]:
-        for b in batches:
-            out: dict[str, list] = {k: [] for k in ("code", "doc_id", "line", "end", "again")}
-            for doc, t in zip(b["doc_id"].to_pylist(), b["text"], strict=True):
-                t = t.as_py()
+        look = _seen(bits.value)
+
+        def rows() -> Iterator[tuple]:
+            for doc, _, spans in _each(batches, shape):
                 seen: set[int] = set()
-                if t and "\n" in t:
-                    for a, z, code in _cut(t, width, spread, most):
-                        out["code"].append(code)
-                        out["doc_id"].append(doc)
-                        out["line"].append(a)
-                        out["end"].append(z)
-                        out["again"].append(code in seen)
+                for a, z, code in spans:
+                    if look(code):
+                        yield code, doc, a, z, code in seen
                         seen.add(code)
-            yield out
+
+        yield from _collected(rows(), ("code", "doc_id", "line", "end", "again"))
 
     every = common.map_batches(common.only(docs, "doc_id", "text"), places, "code long, doc_id long, line long, end long, again boolean")
     again = every.join(first.withColumnRenamed("doc_id", "first_id"), "code").where((F.col("doc_id") != F.col("first_id")) | F.col("again"))
@@ -125,8 +178,9 @@ def dedup(docs: DataFrame, width: int = 2, spread: int = 2, most: int = 12) -> D
                 t, gone = t.as_py(), gone.as_py()
                 lines = t.split("\n") if t is not None else []
                 n = len(lines)
-                for g in reversed(gone or []):
-                    del lines[g["line"] : g["end"]]
+                if gone:
+                    out = {i for g in gone for i in range(g["line"], g["end"])}
+                    lines = [x for i, x in enumerate(lines) if i not in out]
                 texts.append("\n".join(lines) if t is not None else None)
                 removed.append(n - len(lines))
                 stay.append(len(lines))
