@@ -107,7 +107,7 @@ class Model:
     def __init__(self, languages: list[str], prior: np.ndarray, p: np.ndarray, path: str):
         self.languages, self.prior, self.p, self.path = languages, prior, p, path
 
-    def start(self, bound: int = 400_000) -> Model:
+    def start(self, bound: int = 250_000) -> Model:
         self.pieces, self.bound = Pieces(self.path), bound
         self.known: dict[str, int] = {}
         self.scores = np.zeros((bound + 1, len(self.languages)))
@@ -203,6 +203,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        common.release()
         m = shared.value if hasattr(shared.value, "known") else shared.value.start()
         for b in batches:
             for at in range(0, b.num_rows, 512):
@@ -210,4 +211,5 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 names, scores = m.predict(part.column(part.schema.get_field_index("text")).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*part.schema.names, "lang_pred", "score"])
 
+    common.small_batches(spark)
     return keep.mapInArrow(run, schema)

@@ -166,10 +166,16 @@ def dedup(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     again = every.join(first.withColumnRenamed("doc_id", "first_id"), "code").where((F.col("doc_id") != F.col("first_id")) | F.col("again"))
     # at most one entry for each chunk of a document
     lines = common.scratch(again.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("line", "end"))).alias("gone")).withColumnRenamed("doc_id", "gone_id"), "gone")
-    joined = docs.join(lines, docs["doc_id"] == lines["gone_id"], "left").drop("gone_id")
+    # only documents that may lose lines meet the list of lines; the others pass as they are
+    maybe, rest = common.by_bits(docs, "doc_id", common.id_bits(lines, "gone_id"))
+    maybe = common.scratch(maybe, "touched")  # a task never runs two Python workers at once
+    joined = maybe.join(lines, maybe["doc_id"] == lines["gone_id"], "left").drop("gone_id")
+    whole = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long")
+    rest = rest.select("*", F.lit(0).cast("long").alias("lines_removed"), whole.alias("lines_kept"))
     schema = docs.select("*", F.lit(0).cast("long").alias("lines_removed"), F.lit(0).cast("long").alias("lines_kept")).schema
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         for b in batches:
             names = b.schema.names
             at = names.index("text")
@@ -187,4 +193,5 @@ def dedup(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
             columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(b.columns) if names[i] != "gone"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64()), pa.array(stay, pa.int64())], names=[*(n for n in names if n != "gone"), "lines_removed", "lines_kept"])
 
-    return joined.mapInArrow(drop, schema)
+    common.small_batches(docs.sparkSession)
+    return joined.mapInArrow(drop, schema).unionByName(rest)

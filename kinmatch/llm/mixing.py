@@ -130,6 +130,7 @@ def apply(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     both = docs.join(takes, docs["doc_id"].eqNullSafe(takes["_id"])).drop("_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         for b in batches:
             names = b.schema.names
             rows, texts = [], []
@@ -146,4 +147,5 @@ def apply(docs: DataFrame, mixed: DataFrame) -> DataFrame:
                 columns["n_chars"] = pa.array(list(map(len, texts)), pa.int64()).cast(columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
+    common.small_batches(docs.sparkSession)
     return both.mapInArrow(run, docs.schema)

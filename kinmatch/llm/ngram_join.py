@@ -21,19 +21,20 @@ from . import common
 #: Counters of the shingle frequency table, a bound on what is broadcast (4 bytes each). Only the order of
 #: rarity depends on them, never a result.
 COUNTERS = 1 << 20
-#: Bits of the table that says which documents a verification needs; more of it passes when it fills up.
-ID_BITS = 1 << 22
 #: Bins of the suffix filter.
 BINS = 128
 
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 
 
+HASHES = "word hashes"
+
+
 class WordHashes(dict):
     """64-bit hashes of words, kept up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 200_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -52,7 +53,7 @@ def shingles(text: str | None, k: int) -> np.ndarray:
     words = (text or "").encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    hashes = common.held("word hashes", WordHashes)
+    hashes = common.held(HASHES, WordHashes)
     h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     if len(words) < k:
         digest = hashlib.blake2b(b"\x20".join(words), digest_size=8, person=b"short%d" % k).digest()
@@ -107,7 +108,7 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 bins.append(np.minimum(np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=BINS), 32767).astype(np.int16))
             yield {"doc_id": b["doc_id"], "n": n, "d1": d1, "d2": d2, "prefix": prefix, "bins": bins}
 
-    return common.map_batches(docs, run, "doc_id long, n int, d1 long, d2 long, prefix array<long>, bins array<smallint>")
+    return common.map_batches(docs, run, "doc_id long, n int, d1 long, d2 long, prefix array<long>, bins array<smallint>", keeps=HASHES)
 
 
 def _overlap(percent: int, a: str, b: str) -> Column:
@@ -141,21 +142,16 @@ def _suffix_filtered(pairs: DataFrame, bins: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, ids: DataFrame, k: int, name: str) -> DataFrame:
     """(name, name_set) of the documents that a bit table of the ids lets through, made from the texts again."""
 
-    def keys(b: dict) -> Iterator[np.ndarray]:
-        yield _mix(b["id"].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
-
-    bits = docs.sparkSession.sparkContext.broadcast(common.counted(ids, keys, ID_BITS, bits=True))
+    bits = common.id_bits(ids, "id")
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        table = bits.value
         for b in batches:
-            at = (_mix(b["doc_id"].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) & np.uint64(ID_BITS - 1)).astype(np.int64)
-            take = pa.array(np.flatnonzero(table[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1))
+            take = pa.array(np.flatnonzero(common.bit_of(bits.value, b["doc_id"])))
             for i in range(0, len(take), 256):
                 part = take[i : i + 256]
                 yield {name: b["doc_id"].take(part), f"{name}_set": [shingles(t, k).view(np.int64) for t in b["text"].take(part).to_pylist()]}
 
-    return common.map_batches(docs, run, f"{name} long, {name}_set array<long>")
+    return common.map_batches(docs, run, f"{name} long, {name}_set array<long>", keeps=HASHES)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
@@ -167,6 +163,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     return links.select(F.least("doc", "other").alias("u"), F.greatest("doc", "other").alias("v"))
 
 
+def drop_copies(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Documents without those that aren't the smallest of their component; rows with a null doc_id stay."""
+    gone = common.scratch(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "copies")
+    maybe, rest = common.by_bits(docs, "doc_id", common.id_bits(gone, "gone_id"))
+    return maybe.join(gone, maybe["doc_id"] == gone["gone_id"], "left_anti").unionByName(rest)
+
+
 def join(docs: DataFrame, k: int = 5, percent: int = 80, rounds: int = 3, small_bucket: int = 8) -> DataFrame:
     """Groups of documents (doc_id, text) that links of Jaccard similarity `percent` / 100 or more connect.
 
@@ -183,6 +186,7 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, rounds: int = 3, small_
     index = classes.select("doc", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = index.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
     shared = common.scratch(index.join(shared, "token"), "shared")
+    n = shared.count()  # bounds what comes of its rows
     known = docs.where("doc_id IS NOT NULL")
     edges = checked = common.empty(docs.sparkSession, "u long, v long")
     component = common.empty(docs.sparkSession, "node long, component long")
@@ -196,14 +200,14 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, rounds: int = 3, small_
             return
         edges = edges.unionAll(common.scratch(_verified(pairs, known, k), "links"))
         checked = checked.unionAll(pairs.select(F.least("doc", "other").alias("u"), F.greatest("doc", "other").alias("v")))
-        component = common.scratch(common.components(edges), "component")
+        component = common.scratch(common.components(edges), "component", 2 * n)
 
     def others(rows: DataFrame, *more: str) -> DataFrame:
         return rows.select("token", *(F.col(c).alias(o) for c, o in (("doc", "other"), ("n", "other_n"), ("pos", "other_pos"), *((m, f"other_{m}") for m in more))))
 
     def with_hub(rows: DataFrame, *salt: Column) -> DataFrame:
         hub = F.min(F.struct(F.xxhash64("doc", *salt).alias("at"), F.col("doc").alias("other"), F.col("n").alias("other_n"), F.col("pos").alias("other_pos"))).alias("hub")
-        return rows.join(common.scratch(rows.groupBy("token").agg(hub).select("token", "hub.*"), "hubs"), "token")
+        return rows.join(common.scratch(rows.groupBy("token").agg(hub).select("token", "hub.*"), "hubs", n), "token")
 
     # small buckets whole; of a large one each with the hub, which is the same one in all buckets of a group
     small = shared.where(F.col("rows") <= small_bucket)
@@ -211,12 +215,12 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, rounds: int = 3, small_
     compare(_filtered(small.join(others(small), "token").where("doc < other"), percent).unionAll(_filtered(with_hub(large), percent)).distinct())
     for r in range(1, rounds + 1):
         labelled = large.join(component.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-        labelled = common.scratch(labelled, "labelled")
+        labelled = common.scratch(labelled, "labelled", n)
         per = labelled.groupBy("token", "component").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("all"), F.max(F.struct("c", "component")).alias("most"))
-        per = common.scratch(per.where("most.c < all").select("token", F.col("most.component").alias("main")), "open")
+        per = common.scratch(per.where("most.c < all").select("token", F.col("most.component").alias("main")), "open", n)
         if not per.take(1):
             break
-        rows = common.scratch(labelled.join(per, "token").join(bins.select("doc", "bins"), "doc"), "rows")
+        rows = common.scratch(labelled.join(per, "token").join(bins.select("doc", "bins"), "doc"), "rows", n)
         close = _close("bins", "other_bins", F.col("n") + F.col("other_n"), _overlap(percent, "n", "other_n"))
         if r == rounds:
             # what stands outside a bucket's main component meets all of the bucket

@@ -36,7 +36,7 @@ class WordIds(dict):
     and starts anew beyond.
     """
 
-    def __init__(self, path: str, bound: int = 900_000):
+    def __init__(self, path: str, bound: int = 1_000_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
@@ -110,12 +110,12 @@ class WordIds(dict):
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-def words_of(path: str) -> WordIds:
+def words_of(path: str, bound: int = 1_000_000) -> WordIds:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return common.held(f"words {path}", lambda: WordIds(path))
+    return common.held(f"word ids {path} {bound}", lambda: WordIds(path, bound))
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, window: int, tail: int, end_id: int = 1) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, window: int, tail: int, end_id: int, words: int) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): whole windows of each document, then its rest in two.
 
     The last 1/tail of the rest is cut off: many small pieces let the differencing even out the large ones,
@@ -123,7 +123,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int, tail: int, end_id
     """
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        ids_of = words_of(tokenizer)
+        ids_of = words_of(tokenizer, words)
         end = np.asarray([end_id], "<u4").tobytes()
         for b in batches:
             ids = b["doc_id"].to_pylist()
@@ -146,7 +146,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int, tail: int, end_id
                         out["doc_tokens"].append(n)
                 yield out
 
-    return common.map_batches(common.only(docs, "doc_id", "text"), run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return common.map_batches(common.only(docs, "doc_id", "text"), run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long", keeps=f"word ids {tokenizer} {words}")
 
 
 def _merge(a: tuple, b: tuple, k: int) -> tuple:
@@ -218,19 +218,20 @@ def windows(lengths: np.ndarray, capacity: int) -> np.ndarray:
         k += 1
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, window: int = 2048, tail: int = 16, group_windows: int = 128, end_id: int = 1) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, window: int = 2048, tail: int = 16, group_windows: int = 128, end_id: int = 1, words: int = 1_000_000) -> DataFrame:
     """Packs documents (doc_id, text) into sequences of at most `window` ids.
 
     Whole windows of a document are sequences of their own; pieces of the rests are dealt by a hash of
     (doc_id, start) into groups worth about `group_windows` windows, and each group is partitioned by
-    Karmarkar-Karp differencing. Groups hold a bounded number of ids, however long or repeated a document is.
+    Karmarkar-Karp differencing. Groups hold a bounded number of ids, however long or repeated a document is. A
+    worker keeps the ids of `words` words at most, which trades memory for time.
 
     Returns one row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. Null and empty
     texts have the end id alone; a repeated row is packed again; an empty table gives no rows; extra columns are
     ignored.
     """
     tokenizer = tokenizer or public_tokenizers.path("word_bpe_49k.json")
-    pieces = common.scratch(token_pieces(docs, tokenizer, window, tail, end_id), "pieces")
+    pieces = common.scratch(token_pieces(docs, tokenizer, window, tail, end_id, words), "pieces")
     whole = F.col("length") == window
     n_whole, rest = pieces.agg(F.count_if(whole), F.coalesce(F.sum(F.when(~whole, F.col("length"))), F.lit(0))).first()
     n_rest = max(1, -(-rest // (window * group_windows)))
