@@ -31,9 +31,7 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest doc_id."""
-    groups = ngram_join.join(docs)
-    gone = common.scratch(groups.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return ngram_join.drop_copies(docs, ngram_join.join(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their place in windows of 2048 tokens."""
-    return packing.pack(docs)
+    return packing.pack(docs, words=250_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
