@@ -1,8 +1,9 @@
-"""Content-defined line chunks: multi-line passages that repeat anywhere in the corpus are removed."""
+"""Content-defined line chunks, grown over equal neighbours: passages that repeat anywhere in the corpus are removed."""
 
 from __future__ import annotations
 
 import itertools
+import re
 import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -21,6 +22,7 @@ MASK = (1 << 64) - 1
 ROLL = 0x9E3779B97F4A7C15
 #: Blank and \t \n \v \f \r: a line of these alone holds no word.
 BLANKS = " \t\n\x0b\x0c\r"
+WORDS = re.compile(common.WORD)
 
 
 def chunks(hashes: list[int], width: int, spread: int, most: int, seed: int = 0) -> list[int]:
@@ -50,7 +52,12 @@ def chunks(hashes: list[int], width: int, spread: int, most: int, seed: int = 0)
 
 
 def cut(text: str, shape: Shape) -> list[tuple[int, int, int]]:
-    """(first line, end line, code of the chunk's lines) of all chunkings' chunks with two lines that hold a word."""
+    """(first line, end line, code of the chunk's lines) of all spans of a text by which repeats are found.
+
+    Those are all chunkings' chunks with two lines that hold a word; every line that holds a word up to the next one
+    that does, so that borders never depend on lines outside a passage and a match grows over all equal neighbours;
+    and single lines of more than `alone` words.
+    """
     lines = text.split("\n")
     hashes = [xxhash.xxh64_intdigest(x) for x in lines]
     packed = struct.pack(f"<{len(hashes)}Q", *hashes)
@@ -62,17 +69,27 @@ def cut(text: str, shape: Shape) -> list[tuple[int, int, int]]:
             if words[z] - words[a] > 1:
                 spans.add((a, z))
             a = z
+    full = [i for i, x in enumerate(lines) if x.strip(BLANKS)]
+    spans.update((a, z + 1) for a, z in itertools.pairwise(full))
+    spans.update((i, i + 1) for i in full if _above(lines[i], shape.alone))
     return [(a, z, xxhash.xxh64_intdigest(packed[8 * a : 8 * z]) - (1 << 63)) for a, z in sorted(spans)]
 
 
+def _above(line: str, words: int) -> bool:
+    """Whether a line has more words than that; few blanks tell that it hasn't."""
+    return sum(map(line.count, BLANKS)) >= words and len(WORDS.findall(line)) > words
+
+
 @dataclass(frozen=True)
 class Shape:
-    """How lines are cut: see chunks(). Chunkings with different borders find more of a passage's ends."""
+    """How lines are cut: see chunks() and cut()."""
 
     width: int = 2
     spread: int = 2
     most: int = 12
     chunkings: int = 3
+    #: Words above which a single line is a span of its own.
+    alone: int = 50
 
 
 def _each(batches: Iterator[dict], shape: Shape) -> Iterator[tuple[int | None, str, list]]:
@@ -96,9 +113,9 @@ def _collected(rows: Iterator[tuple], names: tuple[str, ...], size: int = 4096)
 def repeated(docs: DataFrame, shape: Shape) -> tuple[DataFrame, Broadcast]:
     """((code, doc_id) of the chunks that stand in two places or more with their smallest document, bit table).
 
-    Codes are counted first. The bytes of those that repeat are then compared: chunks are grouped by code and
-    bytes, and a code that two different chunks share is left out, so that afterwards the code alone tells the
-    bytes. The bit table, of a fixed size, lets repeated codes through and few others.
+    Codes are counted first. The bytes of those that repeat are then compared, line by line: a hash that two
+    different lines share takes its chunks out. Chunks are grouped by code and their lines, and a code that two
+    different chunks share is left out, so that afterwards the code alone tells the bytes. The bit table, of a fixed size, lets repeated codes through and few others.
     """
     spark = docs.sparkSession
 
@@ -112,12 +129,31 @@ def repeated(docs: DataFrame, shape: Shape) -> tuple[DataFrame, Broadcast]:
 
     bits = spark.sparkContext.broadcast(common.counted(again, keys, BITS, bits=True))
 
-    def whole(batches: Iterator[dict]) -> Iterator[dict]:
+    def hits(batches: Iterator[dict]) -> Iterator[tuple[int | None, list[str], list]]:
         seen = _seen(bits.value)
-        rows = ((c, "\n".join(lines[a:z]).encode(), doc) for doc, t, spans in _each(batches, shape) if (hits := [x for x in spans if seen(x[2])]) for lines in [t.split("\n")] for a, z, c in hits)
-        yield from _collected(rows, ("code", "bytes", "doc_id"), 512)
+        for doc, t, spans in _each(batches, shape):
+            if found := [x for x in spans if seen(x[2])]:
+                yield doc, t.split("\n"), found
+
+    def lines_of(batches: Iterator[dict]) -> Iterator[dict]:
+        rows = ((xxhash.xxh64_intdigest(x) - (1 << 63), x.encode()) for _, lines, found in hits(batches) for x in {lines[i] for a, z, _ in found for i in range(a, z)})
+        yield from _collected(rows, ("line", "bytes"), 512)
+
+    # a line's bytes are compared once, whatever the number of chunks that hold it; chunks are then compared by their lines
+    lines = common.map_batches(docs, lines_of, "line long, bytes binary").distinct()
+    shared = frozenset(r["line"] for r in lines.groupBy("line").count().where("count > 1").select("line").collect())
+
+    def whole(batches: Iterator[dict]) -> Iterator[dict]:
+        def rows() -> Iterator[tuple]:
+            for doc, lines, found in hits(batches):
+                hashes = [xxhash.xxh64_intdigest(x) for x in lines]
+                for a, z, code in found:
+                    if not shared or not any(h - (1 << 63) in shared for h in hashes[a:z]):
+                        yield code, struct.pack(f"<{z - a}Q", *hashes[a:z]), doc
+
+        yield from _collected(rows(), ("code", "lines", "doc_id"))
 
-    same = common.map_batches(docs, whole, "code long, bytes binary, doc_id long").groupBy("code", "bytes").agg(F.count("*").alias("places"), F.min("doc_id").alias("doc_id"))
+    same = common.map_batches(docs, whole, "code long, lines binary, doc_id long").groupBy("code", "lines").agg(F.count("*").alias("places"), F.min("doc_id").alias("doc_id"))
     one = same.groupBy("code").agg(F.count("*").alias("texts"), F.sum("places").alias("places"), F.min("doc_id").alias("doc_id"))
     return common.scratch(one.where("texts = 1 AND places > 1").select("code", "doc_id"), "repeated"), bits
 
@@ -138,7 +174,7 @@ def _seen(table: np.ndarray) -> Callable[[int], int]:
 
 
 def dedup(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
-    """Removes multi-line chunks that repeat across the corpus, but for the first place of each.
+    """Removes multi-line passages and long lines that repeat across the corpus, but for the first place of each.
 
     First is the smallest doc_id, and there the first line. Lines are removed towards smaller places alone, so
     some place keeps every line. All columns of the documents stay, text without the removed lines; two more are

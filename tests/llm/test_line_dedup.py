@@ -83,3 +83,19 @@ def test_borders_return_after_a_shift():
     a = line_dedup.chunks(lines, 2, 2, 12)
     b = line_dedup.chunks([7, *lines], 2, 2, 12)
     assert len({x + 1 for x in a} & set(b)) > 0.8 * len(a)
+
+
+def test_short_passages_and_long_lines_go_whole(spark):
+    """Passages of one to four lines, between lines that no other document has, lose every line but at one place."""
+    rows, want = [], {}
+    for k in range(60):
+        n = 1 + k % 4
+        passage = [prose(5000 + 10 * k + j, 60 if n == 1 else 30) for j in range(n)]
+        if n > 2:
+            passage.insert(1, "")
+        for side in range(2):
+            before, after = ([prose(90_000 + 100 * k + 10 * side + j, 9) for j in range(m, m + 3)] for m in (0, 5))
+            rows.append((2 * k + side, "\n".join([*before, *passage, *after])))
+            want[2 * k + side] = "\n".join([*before, *(passage if side == 0 else []), *after])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup(df).collect()} == want
