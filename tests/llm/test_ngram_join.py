@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -65,5 +66,53 @@ def test_near_copies(spark, k, percent):
     assert sum(c != d for d, (_, c) in want.items()) > 20
 
 
+def near_misses(groups: int, each: int, seed: int = 5) -> list[tuple[int, str]]:
+    """Variants of one text that mostly stay just below the threshold to each other, some of them nested in groups
+    that share part of their changes."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(400)}" for _ in range(120)]
+    rows = []
+    for g in range(groups):
+        shared = list(base)
+        for _ in range(g % 4):
+            shared[rng.randrange(120)] = f"g{g}-{rng.randrange(3)}"
+        for c in range(each):
+            w = list(shared)
+            for _ in range(rng.choice((1, 2, 2, 3))):
+                w[rng.randrange(120)] = f"v{rng.randrange(30)}"
+            rows.append((len(rows) * 13 % 10_007, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize(("k", "percent", "more"), [(3, 90, {}), (5, 80, {}), (3, 96, {"small_bucket": 2}), (3, 95, {"levels": 0}), (3, 96, {"levels": 1, "small_bucket": 3})])
+def test_a_large_group_just_below_the_threshold(spark, k, percent, more):
+    rows = near_misses(12, 50)
+    want = plain(rows, k, percent)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), k, percent, **more).collect()}
+    assert got == want
+    assert len({c for _, c in want.values()}) > 1 or percent < 95
+
+
+def test_differences_from_a_hub_leave_few_pairs(spark):
+    """600 texts round one, none linked with another: the pairs that are looked at stay far below all of them."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(900)}" for _ in range(100)]
+    rows = []
+    for c in range(600):
+        w = list(base)
+        for at in rng.sample(range(100), 3):
+            w[at] = f"own{c}-{at}"
+        rows.append((c, " ".join(w)))
+    seen = []
+    real = ngram_join._suffix_filtered
+    ngram_join._suffix_filtered = lambda pairs, bins: (seen.append(pairs.count()), real(pairs, bins))[1]
+    try:
+        out = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
+    finally:
+        ngram_join._suffix_filtered = real
+    assert {r["doc_id"]: r["component_id"] for r in out} == {d: c for d, (_, c) in plain(rows, 3, 90).items()}
+    assert sum(seen) < 600 * 20
+
+
 def test_supplied_documents(spark, tables):
     agree(spark.read.parquet(f"{tables}/documents.parquet"), 3, 90)
