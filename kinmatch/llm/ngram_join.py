@@ -248,13 +248,13 @@ def drop_copies(docs: DataFrame, groups: DataFrame) -> DataFrame:
     return maybe.join(gone, maybe["doc_id"] == gone["gone_id"], "left_anti").unionByName(rest)
 
 
-def join(docs: DataFrame, k: int = 5, percent: int = 80, small_bucket: int = 8, levels: int = 6, hubs: int = 16) -> DataFrame:
+def join(docs: DataFrame, k: int = 5, percent: int = 80, small_bucket: int = 8, large_bucket: int = 32, levels: int = 6, hubs: int = 16) -> DataFrame:
     """Groups of documents (doc_id, text) that links of Jaccard similarity `percent` / 100 or more connect.
 
     Of two sets that link, the smaller has their rarest common element in a short prefix. Buckets with up to
     `small_bucket` classes of short prefix compare these with all. Classes of larger ones meet their bucket's hub and
-    then `hubs` others, again while that joins many to the bucket's main component. Where classes outside it are left,
-    these are compared with all if that makes no more pairs than there are classes, and else the bucket goes by the
+    then `hubs` others, again while that joins many to the bucket's main component. Where up to `large_bucket` classes
+    are left outside it, or have it in a short prefix, these are compared with all. Else the bucket goes by the
     differences from its hub, `levels` times over; should any be left then, they are compared whole.
 
     Returns one row per document: doc_id, n_shingles (set size) and component_id (smallest doc_id that links
@@ -337,25 +337,20 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, small_bucket: int = 8,
     hub_sizes = groups.where("doc = hub").select("hub", F.col("hub").alias("other"), F.col("n").alias("other_n")).distinct()
     compare(whole(rows.where(F.col("shorts") <= small_bucket)).unionAll(_by_length(groups.where("doc <> hub").join(hub_sizes, "hub"), percent)))
     meet_hubs(groups, 0)
-    many = classes.count()
     for level in range(1, levels + 2):
         # a link between two members of a bucket of one component can't change anything
         large = common.scratch(labelled(large.drop("component", "main", "outside"), "key"), "large", n)
-        pairs = large.groupBy("key").agg((F.first(F.least("shorts", "outside")) * F.count("*")).alias("pairs")).agg(F.sum("pairs")).first()[0]
-        if not pairs:
-            break
-        if pairs <= many or level > levels:
-            compare(whole(large))
+        few = (F.least("shorts", "outside") <= large_bucket) | F.lit(level > levels)
+        compare(whole(large.where(few)))
+        large = large.where(~few)
+        if not large.take(1):
             break
         groups = to_hub(large, level)
         apart = common.scratch(_differences(groups.where("doc <> hub").select("doc", "hub"), known, k, percent), "differences")
         most = F.floor((F.col("n") + F.floor(F.col("n") * 100 / percent)) * (100 - percent) / F.lit(100 + percent))
         index = apart.select("doc", "hub", "n", "size", "linked", F.posexplode("prefix").alias("pos", "token"))
-        rows, n = shared(index.select("doc", "hub", "n", "size", "pos", F.xxhash64("hub", "token").alias("key"), "linked", (F.col("pos") <= F.floor(most / 2)).alias("short")))
-        rows = labelled(rows, "key")
-        few = F.least("shorts", "outside") <= small_bucket
-        compare(whole(rows.where(few)), apart.where("linked").select(F.least("doc", "hub").alias("u"), F.greatest("doc", "hub").alias("v")))
-        large = rows.where(~few)
+        large, n = shared(index.select("doc", "hub", "n", "size", "pos", F.xxhash64("hub", "token").alias("key"), "linked", (F.col("pos") <= F.floor(most / 2)).alias("short")))
+        compare(common.empty(docs.sparkSession, "doc long, other long, need int"), apart.where("linked").select(F.least("doc", "hub").alias("u"), F.greatest("doc", "hub").alias("v")))
     return _answer(sig, classes, component)
 
 

@@ -84,7 +84,7 @@ def near_misses(groups: int, each: int, seed: int = 5) -> list[tuple[int, str]]:
     return rows
 
 
-@pytest.mark.parametrize(("k", "percent", "more"), [(3, 90, {}), (5, 80, {}), (3, 96, {"small_bucket": 2}), (3, 95, {"levels": 0}), (3, 96, {"levels": 1, "small_bucket": 3})])
+@pytest.mark.parametrize(("k", "percent", "more"), [(3, 90, {}), (5, 80, {}), (3, 96, {"small_bucket": 2, "large_bucket": 2}), (3, 95, {"levels": 0}), (3, 96, {"levels": 1, "small_bucket": 3, "large_bucket": 3})])
 def test_a_large_group_just_below_the_threshold(spark, k, percent, more):
     rows = near_misses(12, 50)
     want = plain(rows, k, percent)
