@@ -69,6 +69,14 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(F.col(f"`{n}`") for n in names))
 
 
+def unused(columns: list[str], name: str) -> str:
+    """The name, made longer until no column has it, in upper or lower case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_batches(df: DataFrame, f: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]], schema: str, keeps: str | None = None) -> DataFrame:
     """mapInArrow over column dicts: f gets Arrow arrays and gives them or lists.
 
