@@ -14,19 +14,27 @@ from pyspark.sql import types as T
 from . import common
 
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Runs of letters are cut to this many, so that a forward pass keeps within double precision.
-LONGEST_WORD = 32
-#: Longest vocabulary piece that is used.
-LONGEST_PIECE = 6
+#: Letters of words up to which a plain forward pass keeps within double precision; longer ones take it in logarithms.
+PLAIN_LETTERS = 32
+#: Letters of words that go through a forward pass together.
+CELLS = 1 << 18
 _MULTIPLIER = 1_000_003
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-cased runs of letters with a word start mark, long runs cut."""
-    found = LETTERS.findall((text or "").lower())
-    if any(len(w) > LONGEST_WORD for w in found):
-        found = [w[i : i + LONGEST_WORD] for w in found for i in range(0, len(w), LONGEST_WORD)]
-    return found
+    """Lower-cased runs of letters, of any length."""
+    return LETTERS.findall((text or "").lower())
+
+
+def batches_of(words: list[str]) -> Iterator[list[str]]:
+    """Words, shortest first, in batches of bounded size; plain and long ones never share one."""
+    words, at = sorted(words, key=lambda w: (len(w), w)), 0
+    while at < len(words):
+        end = at + 1
+        while end < len(words) and (end + 1 - at) * len(words[end]) <= CELLS and (len(words[end]) <= PLAIN_LETTERS) == (len(words[at]) <= PLAIN_LETTERS):
+            end += 1
+        yield words[at:end]
+        at = end
 
 
 class Pieces:
@@ -41,7 +49,8 @@ class Pieces:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = {model.id_to_piece(i).lower() for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))}
-        pieces = sorted(p for p in names if LETTERS.fullmatch(p.removeprefix("▁")) and len(p.removeprefix("▁")) <= LONGEST_PIECE)
+        pieces = sorted(p for p in names if LETTERS.fullmatch(p.removeprefix("▁")))
+        self.longest = max((len(p.removeprefix("▁")) for p in pieces), default=1)
         self.n = len(pieces) + 2  # the last two: an unknown character at a word's start, and inside
         keys = np.asarray([self._key(p.removeprefix("▁"), p[0] == "▁") for p in pieces], np.uint64)
         order = np.argsort(keys)
@@ -61,10 +70,10 @@ class Pieces:
         chars = np.zeros((len(words), width), np.uint64)
         flat = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.uint64)
         chars[np.arange(width) < lengths[:, None]] = flat
-        ids = np.full((len(words), width, LONGEST_PIECE), -1, np.int64)
+        ids = np.full((len(words), width, min(width, self.longest)), -1, np.int32)
         for a in range(width):
             h = np.full(len(words), 1 if a == 0 else 2, np.uint64)
-            for n in range(1, min(LONGEST_PIECE, width - a) + 1):
+            for n in range(1, min(self.longest, width - a) + 1):
                 h = h * np.uint64(_MULTIPLIER) + chars[:, a + n - 1]
                 at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
                 found = np.where(self.keys[at] == h, self.ids[at], self.n - 2 + (a > 0) if n == 1 else -1)
@@ -78,11 +87,42 @@ def forward(lengths: np.ndarray, ids: np.ndarray, p: np.ndarray) -> np.ndarray:
     alpha[:, 0] = 1.0
     p = np.vstack([p, np.zeros(p.shape[1])])  # id -1
     for end in range(ids.shape[1]):
-        for n in range(1, min(LONGEST_PIECE, end + 1) + 1):
+        for n in range(1, min(ids.shape[2], end + 1) + 1):
             alpha[:, end + 1] += alpha[:, end + 1 - n] * p[ids[:, end, n - 1]]
     return alpha
 
 
+def forward_log(ids: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Logarithm of forward()'s table, for words of any length; meaningless beyond a word's end."""
+    out = np.full((len(ids), ids.shape[1] + 1, p.shape[1]), -np.inf)
+    out[:, 0] = 0.0
+    p = np.vstack([p, np.zeros(p.shape[1])])  # id -1
+    for end in range(ids.shape[1]):
+        k = min(ids.shape[2], end + 1)
+        before = out[:, end - k + 1 : end + 1][:, ::-1]
+        total = np.einsum("wnl,wnl->wl", p[ids[:, end, :k]], np.exp(np.minimum(before - out[:, end, None], 600.0)))
+        out[:, end + 1] = out[:, end] + np.log(np.maximum(total, 1e-300))
+    return out
+
+
+def expected_long(ids: np.ndarray, counts: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """expected() for one word of any length, given by its ids [end, n - 1] and counts [language]."""
+    q = np.log(np.maximum(np.vstack([p, np.zeros(p.shape[1])]), 1e-300))
+    alpha, width = forward_log(ids[None], p)[0], len(ids)
+    beta = np.full_like(alpha, -np.inf)
+    beta[width] = 0.0
+    out = np.zeros((len(p) + 1, p.shape[1]))
+    for start in range(width - 1, -1, -1):
+        n = np.arange(1, min(ids.shape[1], width - start) + 1)
+        n = n[ids[start + n - 1, n - 1] >= 0]
+        i = ids[start + n - 1, n - 1]
+        through = q[i] + beta[start + n]
+        top = through.max(0)
+        beta[start] = top + np.log(np.exp(through - top).sum(0))
+        np.add.at(out, i, counts * np.exp(alpha[start] + through - alpha[width]))
+    return out[:-1]
+
+
 def expected(lengths: np.ndarray, ids: np.ndarray, counts: np.ndarray, p: np.ndarray) -> np.ndarray:
     """Expected piece counts [piece, language] over all segmentations of words that stand counts[w, l] times."""
     alpha = forward(lengths, ids, p)
@@ -93,7 +133,7 @@ def expected(lengths: np.ndarray, ids: np.ndarray, counts: np.ndarray, p: np.nda
     q = np.vstack([p, np.zeros(p.shape[1])])
     out = np.zeros_like(q)
     for end in range(ids.shape[1] - 1, -1, -1):
-        for n in range(1, min(LONGEST_PIECE, end + 1) + 1):
+        for n in range(1, min(ids.shape[2], end + 1) + 1):
             i = ids[:, end, n - 1]
             through = q[i] * beta[:, end + 1]
             np.add.at(out, i, alpha[:, end + 1 - n] * through)
@@ -110,24 +150,29 @@ class Model:
     def start(self, bound: int = 250_000) -> Model:
         self.pieces, self.bound = Pieces(self.path), bound
         self.known: dict[str, int] = {}
+        self.letters = 0
         self.scores = np.zeros((bound + 1, len(self.languages)))
         return self
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.bound:
+        self.letters += sum(map(len, new))
+        if len(self.known) + len(new) > self.bound or self.letters > 32 * self.bound:
             self.known.clear()
+            self.letters = sum(map(len, words))
             new = list(words)
             if len(new) > self.bound:
                 self.bound = len(new)
                 self.scores = np.zeros((self.bound + 1, len(self.languages)))
-        new.sort(key=len)
-        for at in range(0, len(new), 8192):
-            part = new[at : at + 8192]
+        for part in batches_of(new):
             lengths, ids = self.pieces.substrings(part)
-            alpha = forward(lengths, ids, self.p)
+            rows = np.arange(len(part))
             first = len(self.known)
-            self.scores[first : first + len(part)] = np.log(np.maximum(alpha[np.arange(len(part)), lengths], 1e-300))
+            if len(part[-1]) <= PLAIN_LETTERS:
+                score = np.log(np.maximum(forward(lengths, ids, self.p)[rows, lengths], 1e-300))
+            else:
+                score = forward_log(ids, self.p)[rows, lengths]
+            self.scores[first : first + len(part)] = score
             self.known.update(zip(part, range(first, first + len(part)), strict=True))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -178,13 +223,15 @@ def train(labelled: DataFrame, docs_per_language: int = 600, longest: int = 20_0
         for lang, word, n in zip(counted["lang"], counted["word"], counted["count"], strict=True):
             for w in words_of(word):
                 rows.setdefault(w, np.zeros(len(languages)))[column[lang]] += n
-        names = sorted(rows, key=lambda w: (len(w), w))
         for _ in range(rounds):
             total = np.full_like(p, 0.02)  # an imagined share of an occurrence for each piece
-            for at in range(0, len(names), 8192):
-                part = names[at : at + 8192]
+            for part in batches_of(list(rows)):
                 lengths, ids = pieces.substrings(part)
-                total += expected(lengths, ids, np.stack([rows[w] for w in part]), p)
+                if len(part[-1]) <= PLAIN_LETTERS:
+                    total += expected(lengths, ids, np.stack([rows[w] for w in part]), p)
+                else:
+                    for w, n, i in zip(part, lengths.tolist(), ids, strict=True):
+                        total += expected_long(i[:n], rows[w], p)
             p = total / total.sum(0)
     return Model(languages, np.log(prior / prior.sum()), p, path)
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -24,7 +25,7 @@ def every_segmentation(word, pieces, p):
                 a = i
         product = 1.0
         for at, part in parts:
-            i = known.get(int(pieces._key(part, at == 0))) if len(part) <= language.LONGEST_PIECE else None
+            i = known.get(int(pieces._key(part, at == 0)))
             if i is None:
                 i = pieces.n - 2 + (at > 0) if len(part) == 1 else None
             product *= p[i] if i is not None else 0.0
@@ -79,5 +80,25 @@ def test_edge_cases(spark, edge, none):
     assert language.identify(none, model).count() == 0
 
 
+def test_words_of_any_length_sum_all_segmentations():
+    """The pass in logarithms equals the plain one, a plain recursion in fractions for a long run, and EM's counts."""
+    pieces = language.Pieces(PATH)
+    assert pieces.longest > 6
+    p = np.random.default_rng(2).random((pieces.n, 2))
+    p /= p.sum(0)
+    lengths, ids = pieces.substrings(["internationalisation"[:14], "a"])
+    assert np.allclose(language.forward_log(ids, p)[0, 14], np.log(language.forward(lengths, ids, p)[0, 14]))
+    assert math.isclose(math.exp(language.forward_log(ids, p)[0, 14, 0]), every_segmentation("internationalisation"[:14], pieces, p[:, 0]), rel_tol=1e-9)
+    got = language.expected_long(ids[0][:14], np.ones(2), p)
+    assert np.allclose(got, language.expected(lengths[:1], ids[:1], np.ones((1, 2)), p))
+    word = ("strasseninformation" * 11)[:200]
+    lengths, ids = pieces.substrings([word])
+    alpha = [Fraction(1)]
+    for end in range(200):
+        alpha.append(sum((alpha[end + 1 - n] * Fraction(float(p[ids[0, end, n - 1], 0])) for n in range(1, min(pieces.longest, end + 1) + 1) if ids[0, end, n - 1] >= 0), Fraction(0)))
+    want = math.log(alpha[200].numerator) - math.log(alpha[200].denominator)
+    assert math.isclose(language.forward_log(ids, p)[0, 200, 0], want, rel_tol=1e-9)
+
+
 def test_long_words_are_whole():
     assert "".join(language.words_of("x" * 100)) == "x" * 100
