@@ -15,12 +15,13 @@ from . import common
 
 #: Longest dictionary word that Viterbi tries.
 LONGEST = 20
-#: Words that stand for a class before anything is learned, each worth SEED_COUNT sightings.
+#: Words that stand for a class before anything is learned, each worth SEED_COUNT sightings: a prior that any learned
+#: word outweighs.
 SEEDS = {
     "block": ("casino", "bet", "bets", "betting", "poker", "slots", "jackpot", "pills", "pharmacy", "viagra", "cheap", "spam", "farm", "ads", "ad", "track", "tracker", "click", "xxx", "x", "porn", "sex", "adult", "nude", "escort", "dating", "loan", "loans", "payday", "replica", "torrent", "warez", "crack", "malware", "phish", "scam", "win", "winner", "prize"),
     "allow": ("news", "blog", "wiki", "docs", "doc", "help", "forum", "article", "articles", "post", "posts", "library", "school", "university", "science", "history", "research", "journal", "museum", "guide", "learn", "book", "books", "health", "travel", "recipe", "www", "en", "html", "page", "org", "edu", "gov"),
 }
-SEED_COUNT = 200
+SEED_COUNT = 1
 #: A run of digits of any length is one token.
 NUMBER = "0"
 
@@ -83,7 +84,7 @@ class Segmenter:
         found = []
         for mark, text in (("h:", host), ("p:", path.lower())):
             for run in re.findall(r"[^\W\d_]+|\d+", text):
-                found += [mark + NUMBER] if run[0].isdigit() else [mark + w for w in self.split(run[:256])] + ([mark + w for at in range(256, len(run), 256) for w in self.split(run[at : at + 256])] if len(run) > 256 else [])
+                found += [mark + NUMBER] if run[0].isdigit() else [mark + w for w in (self.split(run) if len(run) <= 64 else self._split(run))]
         return found
 
 
