@@ -15,6 +15,8 @@ from . import common
 
 #: Words in a window whose repetition counts.
 WINDOW = 8
+#: Words in a block within which distinct ones are counted, so that a text's length doesn't change their share.
+BLOCK = 200
 #: A whole word of letters, with or without marks behind it.
 PLAIN = r"(?<![^\x20\x09-\x0D])\p{L}+[.,;:!?]*(?![^\x20\x09-\x0D])"
 
@@ -40,7 +42,7 @@ def counts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         plain("!").cast("long").alias("n_marks"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size("lines").cast("long").alias("n_lines"),
-        F.size(F.array_distinct("words")).cast("long").alias("n_distinct"),
+        F.aggregate(F.sequence(F.lit(0), F.floor(n / BLOCK).cast("int")), F.lit(0), lambda a, i: a + F.size(F.array_distinct(F.slice("words", i * BLOCK + 1, BLOCK)))).cast("long").alias("n_distinct"),
         F.length(F.regexp_replace("text", r"[^\p{L}]+", "")).cast("long").alias("n_letters"),
         F.length(F.regexp_replace("text", r"[^\p{Lu}]+", "")).cast("long").alias("n_capitals"),
         F.regexp_count("text", F.lit(PLAIN)).cast("long").alias("n_plain"),
@@ -69,7 +71,7 @@ def rules() -> dict[str, Column]:
         "lines": _vote(c("n_dup_lines") * 100 > c("n_lines") * 40, (c("n_dup_lines") * 100 <= c("n_lines") * 10) & (c("n_lines") > 1)),
         "capitals": _vote(c("n_capitals") * 100 > c("n_letters") * 40, c("n_capitals") * 100 <= c("n_letters") * 15),
         "marks": _vote(c("n_marks") * 100 > c("n_words") * 30, c("n_marks") * 100 <= c("n_words") * 5),
-        "variety": _vote((c("n_distinct") * 100 < c("n_words") * 25) & (c("n_words") <= 1500), (c("n_distinct") * 100 >= c("n_words") * 45) & (c("n_words") >= 20)),
+        "variety": _vote(c("n_distinct") * 100 < c("n_words") * 25, (c("n_distinct") * 100 >= c("n_words") * 45) & (c("n_words") >= 20)),
         "letters": _vote(c("n_letters") * 100 < c("word_chars") * 80, c("n_letters") * 100 >= c("word_chars") * 90),
         "plain": _vote(c("n_plain") * 100 < c("n_words") * 55, c("n_plain") * 100 >= c("n_words") * 85),
         "length": _vote((c("word_chars") < c("n_words") * 2) | (c("word_chars") > c("n_words") * 20), (c("word_chars") >= c("n_words") * 3) & (c("word_chars") <= c("n_words") * 12)),
