@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +42,10 @@ class WordIds(dict):
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer, self.bound = Tokenizer.from_file(path), bound
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # their strings within a word are ordinary text; texts that hold one are sent whole through `exact`
+        self.tokenizer.encode_special_tokens = True
+        self.exact = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
         # the same merges for words of letters alone, which need no normaliser and no pattern
         self.merges = Tokenizer.from_file(path)
         self.merges.normalizer, self.merges.pre_tokenizer = None, WhitespaceSplit()
@@ -88,7 +92,7 @@ class WordIds(dict):
         """Ids of texts. Lower case first makes words meet; only a final sigma depends on what stands around."""
         get, out, waiting, new = self.get, [], [], set()
         for i, t in enumerate(texts):
-            if "\u03a3" in t or any(s in t for s in _SEPARATORS):
+            if "\u03a3" in t or any(s in t for s in _SEPARATORS) or any(s in t for s in self.special):
                 out.append(self.whole(t))
                 continue
             words = t.lower().split()
@@ -107,7 +111,7 @@ class WordIds(dict):
         return out
 
     def whole(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.asarray(self.exact.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def words_of(path: str, bound: int = 1_000_000) -> WordIds:
@@ -116,15 +120,16 @@ def words_of(path: str, bound: int = 1_000_000) -> WordIds:
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, window: int, tail: int, end_id: int, words: int) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens): whole windows of each document, then its rest in two.
+    """(doc_id, start, length, ids_crc32, doc_tokens, place): whole windows of each document, then its rest in two.
 
     The last 1/tail of the rest is cut off: many small pieces let the differencing even out the large ones,
-    while a document stays nearly whole. A null or empty text has the end id alone.
+    while a document stays nearly whole. A null or empty text has the end id alone. Places number a task's pieces.
     """
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         ids_of = words_of(tokenizer, words)
         end = np.asarray([end_id], "<u4").tobytes()
+        place = TaskContext.get().partitionId() << 40
         for b in batches:
             ids = b["doc_id"].to_pylist()
             texts = b["text"]
@@ -144,9 +149,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int, tail: int, end_id
                         out["length"].append(z - a)
                         out["ids_crc32"].append(zlib.crc32(raw[4 * a : 4 * z]))
                         out["doc_tokens"].append(n)
+                out["place"] = list(range(place, place + len(out["start"])))
+                place += len(out["start"])
                 yield out
 
-    return common.map_batches(common.only(docs, "doc_id", "text"), run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long", keeps=f"word ids {tokenizer} {words}")
+    return common.map_batches(common.only(docs, "doc_id", "text"), run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, place long", keeps=f"word ids {tokenizer} {words}")
 
 
 def _merge(a: tuple, b: tuple, k: int) -> tuple:
@@ -221,8 +228,8 @@ def windows(lengths: np.ndarray, capacity: int) -> np.ndarray:
 def pack(docs: DataFrame, tokenizer: str | None = None, window: int = 2048, tail: int = 16, group_windows: int = 128, end_id: int = 1, words: int = 1_000_000) -> DataFrame:
     """Packs documents (doc_id, text) into sequences of at most `window` ids.
 
-    Whole windows of a document are sequences of their own; pieces of the rests are dealt by a hash of
-    (doc_id, start) into groups worth about `group_windows` windows, and each group is partitioned by
+    Whole windows of a document are sequences of their own; pieces of the rests are dealt by a hash of their
+    place into groups worth about `group_windows` windows, and each group is partitioned by
     Karmarkar-Karp differencing. Groups hold a bounded number of ids, however long or repeated a document is. A
     worker keeps the ids of `words` words at most, which trades memory for time.
 
@@ -236,7 +243,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = 2048, tail
     n_whole, rest = pieces.agg(F.count_if(whole), F.coalesce(F.sum(F.when(~whole, F.col("length"))), F.lit(0))).first()
     n_rest = max(1, -(-rest // (window * group_windows)))
     n_full = max(1, -(-n_whole // 8192))
-    key = F.xxhash64("doc_id", "start", F.lit(2))
+    key = F.xxhash64("place", F.lit(2))
     group = F.when(whole, F.pmod(key, F.lit(n_full)) * 2 + 1).otherwise(F.pmod(key, F.lit(n_rest)) * 2)
 
     def run(x: pa.Table) -> pa.Table:
@@ -251,4 +258,4 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = 2048, tail
         offset[order] = (ends - lengths[order]) - (ends - lengths[order])[first]
         return x.drop_columns("group").append_column("sequence_id", pa.array((g << 24) + part)).append_column("offset", pa.array(offset))
 
-    return pieces.withColumn("group", group).groupBy("group").applyInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return pieces.withColumn("group", group).drop("place").groupBy("group").applyInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

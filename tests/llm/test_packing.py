@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from kinmatch.llm import packing
@@ -18,7 +19,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 def check(rows, docs, window=2048):
     """Every id in one piece, windows gapless and within capacity."""
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     want = defaultdict(list)
     for doc, text in docs:
         ids = np.asarray([*t.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
@@ -58,10 +58,17 @@ def test_supplied_documents(spark, tables):
     assert sum(r["length"] for r in rows) > 0.95 * 2048 * len({r["sequence_id"] for r in rows})
 
 
-@pytest.mark.parametrize("text", ["don't we'll x's", "ÀÉ İstanbul ΣΑΣ ſK ß", "éa ́x", "a1b2 3.14", "​ zero", "日本語 テスト", "emoji 😀!! a_b", "<|endoftext|> x", "x\x1cy", "it's, 'tis 'S", "foo--bar. ..."])
+@pytest.mark.parametrize("text", ["don't we'll x's", "ÀÉ İstanbul ΣΑΣ ſK ß", "éa ́x", "a1b2 3.14", "​ zero", "日本語 テスト", "emoji 😀!! a_b", "<|endoftext|> x", "a <|endoftext|> b", "a<|startoftext|>b", "<|ENDOFTEXT|>", "<| endoftext |>", "x\x1cy", "it's, 'tis 'S", "foo--bar. ..."])
 def test_ids_are_the_tokenizers(text):
     words = packing.WordIds(PATH)
-    assert words.of([text, text])[1] == words.whole(text)
+    plain = np.asarray(Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert words.of([text, text])[1] == words.whole(text) == plain
+
+
+def test_repeats_of_one_row_stay_in_bounded_groups(spark):
+    df = spark.range(40_000).selectExpr("if(id % 2 = 0, 7, null) as doc_id", "'some words that repeat' as text")
+    rows = packing.pack(df, window=64, group_windows=16).groupBy((F.col("sequence_id").bitwiseAND(~((1 << 24) - 1))).alias("group")).count().collect()
+    assert sum(r["count"] for r in rows) >= 40_000 and max(r["count"] for r in rows) < 1000
 
 
 @settings(max_examples=60, deadline=None)
