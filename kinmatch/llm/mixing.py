@@ -62,8 +62,18 @@ def fill(sizes: np.ndarray, weights: np.ndarray, total: float, most: float) -> n
     return target
 
 
+def spread(words: np.ndarray, seats: int, block: int, most: int, together: int = 4096) -> np.ndarray:
+    """Quotas of shards in two levels: the seats go to runs of `together` shards first, then within each run."""
+    n = -(-words // block)
+    if len(words) <= together:
+        return apportion(words, seats, most * n)
+    cuts = np.arange(0, len(words), together)
+    runs = apportion(np.add.reduceat(words, cuts), seats, most * np.add.reduceat(n, cuts))
+    return np.concatenate([apportion(words[a : a + together], int(s), most * n[a : a + together]) for a, s in zip(cuts, runs, strict=True)])
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, shard_words: int = 1 << 18, largest_block: int = 64, seed: int = 9) -> DataFrame:
-    """How many words of each document a mix of the sources takes.
+    """How many words of each document a mix of the sources takes, and which.
 
     Sources in code point order, null last, have the weights in turn. Together they give `share` times all
     words; a target stops at `most` times its source. Blocks hold equally many words: a 64th of the smallest
@@ -72,12 +82,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     before any block is chosen. A shard's documents stand in seeded order; its quota is whole rounds of all
     blocks and then a run of blocks from a seeded start.
 
-    Returns the columns doc_id, source, size, source_size, target, taken. A null or empty text has size 0 and
-    nothing is taken; a null source is a source of its own; repeated rows count each; an empty table gives no
-    rows; extra columns are ignored. The table of sources and one source's table of shards each fit a task.
+    Returns the columns doc_id, source, size, source_size, target, taken, text_hash, rounds (times that the whole
+    document is taken) and parts (start, end: runs of its words that are taken once more). A null or empty text has
+    size 0 and nothing is taken; a null source is a source of its own; repeated rows count each; an empty table
+    gives no rows; extra columns are ignored. The table of sources and one source's table of shards, three numbers
+    each, fit a task.
     """
     words = F.coalesce(F.regexp_count("text", F.lit(common.WORD)), F.lit(0)).cast("long")
-    sizes = common.scratch(docs.select(F.col("doc_id"), F.col("source"), words.alias("size")), "sizes")
+    sizes = common.scratch(docs.select(F.col("doc_id"), F.col("source"), words.alias("size"), F.xxhash64("text").alias("text_hash")), "sizes")
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
 
     def sources(x: pd.DataFrame) -> pd.DataFrame:
@@ -95,57 +107,70 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
 
     per_source = common.scratch(totals.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(sources, "sid long, source string, source_size long, target double, block long, shards long, seats long"), "sources")
     order = F.xxhash64("doc_id", F.lit(seed))
-    dealt = sizes.join(per_source, sizes["source"].eqNullSafe(per_source["source"])).select(sizes["doc_id"], sizes["source"], "size", "source_size", "target", "sid", "block", "seats", F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.col("shards")).alias("shard"), order.alias("at"))
+    dealt = sizes.join(per_source, sizes["source"].eqNullSafe(per_source["source"])).select(sizes["doc_id"], sizes["source"], "size", "text_hash", "source_size", "target", "sid", "block", "seats", F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(seed + 1)), F.col("shards")).alias("shard"), order.alias("at"))
     shards = dealt.groupBy("sid", "shard").agg(F.sum("size").alias("words"), F.first("block").alias("block"), F.first("seats").alias("seats"), F.first("target").alias("target"), F.first("source_size").alias("source_size"))
 
     def quotas(x: pd.DataFrame) -> pd.DataFrame:
         x = x.sort_values("shard", ignore_index=True)
-        n = -(-x["words"].to_numpy(np.int64) // x["block"].to_numpy(np.int64))
+        words, block = x["words"].to_numpy(np.int64), int(x["block"].iloc[0])
+        n = -(-words // block)
         full = x["target"].iloc[0] >= most * x["source_size"].iloc[0]
-        x["quota"] = most * n if full else apportion(x["words"].to_numpy(), int(x["seats"].iloc[0]), most * n)
+        x["quota"] = most * n if full else spread(words, int(x["seats"].iloc[0]), block, most)
         x["blocks"] = n
-        return x[["sid", "shard", "words", "blocks", "quota"]]
+        return x[["sid", "shard", "blocks", "quota"]]
 
-    quota = common.scratch(shards.groupBy("sid").applyInPandas(quotas, "sid long, shard long, words long, blocks long, quota long"), "quotas")
-    w = Window.partitionBy("sid", "shard").orderBy("at", F.col("doc_id"), "size").rowsBetween(Window.unboundedPreceding, -1)
+    quota = common.scratch(shards.groupBy("sid").applyInPandas(quotas, "sid long, shard long, blocks long, quota long"), "quotas")
+    w = Window.partitionBy("sid", "shard").orderBy("at", F.col("doc_id"), "size", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     placed = dealt.withColumn("start", F.coalesce(F.sum("size").over(w), F.lit(0))).join(quota, ["sid", "shard"])
-    run, first = F.col("quota") % F.greatest("blocks", F.lit(1)), F.pmod(F.xxhash64("sid", "shard", F.lit(seed + 2)), F.greatest("blocks", F.lit(1)))
+    blocks = F.greatest("blocks", F.lit(1))
+    run, first = F.col("quota") % blocks, F.pmod(F.xxhash64("sid", "shard", F.lit(seed + 2)), blocks)
 
-    def overlap(a: Column, z: Column) -> Column:
-        """Words of the document in blocks a to z of its shard."""
-        return F.greatest(F.lit(0), F.least(F.col("start") + F.col("size"), z * F.col("block")) - F.greatest(F.col("start"), a * F.col("block")))
+    def part(a: Column, z: Column) -> Column:
+        """The document's words in blocks a to z of its shard."""
+        inside = lambda x: F.greatest(F.lit(0), F.least(F.col("size"), x * F.col("block") - F.col("start"))).cast("long")
+        return F.struct(inside(a).alias("start"), inside(z).alias("end"))
 
-    rounds = F.floor(F.col("quota") / F.greatest("blocks", F.lit(1)))
-    taken = rounds * F.col("size") + overlap(first, F.least(first + run, F.col("blocks"))) + overlap(F.lit(0), first + run - F.col("blocks"))
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    parts = F.filter(F.array(part(first, F.least(first + run, F.col("blocks"))), part(F.lit(0), first + run - F.col("blocks"))), lambda p: p["end"] > p["start"])
+    placed = placed.withColumn("rounds", F.floor(F.col("quota") / blocks).cast("long")).withColumn("parts", parts)
+    taken = F.col("rounds") * F.col("size") + F.aggregate("parts", F.lit(0).cast("long"), lambda s, p: s + p["end"] - p["start"])
+    return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "text_hash", "rounds", "parts")
 
 
 def apply(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """Documents as the mix takes them: whole rounds repeat the row, a part of a round has its leading words.
+    """Documents as the mix takes them: whole rounds repeat the row, a part of a round has the words of its blocks.
 
-    A document of which nothing is taken goes. Columns stay; n_chars, where there is one, follows the text. Rows
-    that repeat a doc_id take what the largest of them takes.
+    A document of which nothing is taken goes. Columns stay, whatever their names; n_chars, where there is one,
+    follows the text. Rows that repeat a doc_id and its text come from one of them, as often as all of them are taken.
     """
-    takes = mixed.groupBy("doc_id").agg(F.max("taken").alias("_taken")).withColumnRenamed("doc_id", "_id").where("_taken > 0")
-    both = docs.join(takes, docs["doc_id"].eqNullSafe(takes["_id"])).drop("_id")
+    doc, text, own, takes = (common.unused(docs.columns, x) for x in ("doc", "hash", "own", "takes"))
+    # rows of one doc_id and text stand together in a shard: all but a few of them are taken in whole rounds
+    each = mixed.where("taken > 0").groupBy(F.col("doc_id").alias(doc), F.col("text_hash").alias(text))
+    each = each.agg(F.struct(F.sum("rounds").alias("rounds"), F.flatten(F.collect_list(F.when(F.size("parts") > 0, F.col("parts")))).alias("parts"), F.count("*").alias("rows")).alias(takes))
+    each = common.scratch(each, "takes")
+    both = docs.withColumn(own, F.xxhash64("text")).join(each, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(text)))
+    if each.where(F.col(takes)["rows"] > 1).take(1):
+        many = F.col(takes)["rows"] > 1
+        both = both.where(~many).unionAll(both.where(many).dropDuplicates([doc, text]))
+    both = both.select(*(F.col(f"`{c}`") for c in docs.columns), takes)
+    at = docs.columns.index("text")
+    chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else -1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.release()
         for b in batches:
-            names = b.schema.names
             rows, texts = [], []
-            for i, (t, taken) in enumerate(zip(b.column(names.index("text")), b.column(names.index("_taken")), strict=True)):
-                t, left = t.as_py() or "", taken.as_py()
-                ends = [m.end() for m in _WORDS.finditer(t)]
-                while left > 0 and ends:
-                    rows.append(i)
-                    texts.append(t if left >= len(ends) else t[: ends[left - 1]])
-                    left -= len(ends)
-            part = b.take(pa.array(rows, pa.int64()))
-            columns = {n: c for n, c in zip(names, part.columns, strict=True) if n != "_taken"} | {"text": pa.array(texts, pa.string())}
-            if "n_chars" in columns:
-                columns["n_chars"] = pa.array(list(map(len, texts)), pa.int64()).cast(columns["n_chars"].type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+            for i, (t, take) in enumerate(zip(b.column(at), b.column(b.num_columns - 1), strict=True)):
+                t, take = t.as_py() or "", take.as_py()
+                texts += [t] * take["rounds"]
+                if take["parts"]:
+                    found = [m.span() for m in _WORDS.finditer(t)]
+                    texts += [t[found[p["start"]][0] if p["start"] else 0 : found[p["end"] - 1][1]] for p in take["parts"]]
+                rows += [i] * (len(texts) - len(rows))
+            columns = b.take(pa.array(rows, pa.int64())).columns[:-1]
+            columns[at] = pa.array(texts, pa.string())
+            if chars >= 0:
+                columns[chars] = pa.array(list(map(len, texts)), pa.int64()).cast(columns[chars].type)
+            yield pa.RecordBatch.from_arrays(columns, names=b.schema.names[:-1])
 
     common.small_batches(docs.sparkSession)
     return both.mapInArrow(run, docs.schema)

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -63,6 +63,45 @@ def test_apply_takes_what_the_mix_says(spark, tables):
     assert dict(words) == {r["doc_id"]: r["taken"] for r in mixed.collect() if r["taken"]}
 
 
+def test_apply_emits_the_chosen_blocks(spark, tables):
+    """Brute force: a shard's words in order, cut into blocks; its rounds and its run of blocks come out word by word."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    mixed = mixing.mix(docs, shard_words=20_000)
+    texts = {r["doc_id"]: re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "") for r in docs.collect()}
+    want, got = Counter(), Counter()
+    for r in mixed.collect():
+        want.update({(r["doc_id"], w): n * r["rounds"] for w, n in Counter(texts[r["doc_id"]]).items()})
+        for p in r["parts"]:
+            want.update((r["doc_id"], w) for w in texts[r["doc_id"]][p["start"] : p["end"]])
+    for r in mixing.apply(docs, mixed).collect():
+        got.update((r["doc_id"], w) for w in re.findall(r"[^\x20\x09-\x0D]+", r["text"]))
+    assert got == +want
+    assert any(p["start"] > 0 for r in mixed.collect() for p in r["parts"])
+
+
+def test_any_column_names_and_repeated_rows(spark):
+    rows = [(1, "a b c d e f g h", "x")] * 5 + [(1, "other text of that id", "x"), (None, "null id here", "x"), (None, "null id here", "x"), (2, "z " * 40, None), (3, None, "x")]
+    df = spark.createDataFrame([(*r, 1, 2, 3, 4) for r in rows], "doc_id long, text string, source string, _taken int, takes int, own int, hash int")
+    mixed = mixing.mix(df)
+    out = mixing.apply(df, mixed)
+    assert out.columns == df.columns
+    words = defaultdict(int)
+    for r in out.collect():
+        words[r["doc_id"]] += size(r["text"])
+    taken = defaultdict(int)
+    for r in mixed.collect():
+        taken[r["doc_id"]] += r["taken"]
+    assert dict(words) == {d: n for d, n in taken.items() if n}
+
+
+def test_two_levels_give_all_seats():
+    rng = np.random.default_rng(4)
+    words = rng.integers(0, 300, 1000)
+    quota = mixing.spread(words, 3000, 10, 2, together=64)
+    assert quota.sum() == 3000 and (quota <= 2 * -(-words // 10)).all()
+    assert np.abs(quota - 3000 * words / words.sum()).max() < 3
+
+
 def greedy(weights, seats, most):
     got = [0] * len(weights)
     for _ in range(min(seats, sum(m for w, m in zip(weights, most, strict=True) if w > 0))):

@@ -39,7 +39,7 @@ def test_language_keeps_clean_documents(stages):
 
 
 def test_lines(stages):
-    want = lines_plain(pairs(stages[1]))
+    want = lines_plain([(d, 0, t) for d, t in pairs(stages[1])])
     got = Counter(pairs(stages[2]))
     assert got <= want
     assert all(not t.strip() for _, t in (want - got).elements())
