@@ -80,7 +80,7 @@ WITH r AS (
          || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS payload
   FROM pages WHERE page_id IS NOT NULL),
 d AS (
-  SELECT file, CASE WHEN record % 97 = 2 THEN -record - 1 ELSE record END AS record,
+  SELECT CASE WHEN record % 97 = 3 THEN file + 1 ELSE file END AS file, CASE WHEN record % 97 = 2 THEN -record - 1 ELSE record END AS record,
          CASE WHEN record % 97 = 0 THEN '#' || substr(payload, 2) ELSE payload END AS payload
   FROM r WHERE record % 97 <> 1),
 a AS (SELECT file, record, sha256(payload) AS hash, coalesce(sum(octet_length(encode(payload))) OVER (PARTITION BY file ORDER BY record ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at FROM r),
@@ -88,5 +88,5 @@ b AS (SELECT file, record, sha256(payload) AS hash, coalesce(sum(octet_length(en
 SELECT coalesce(a.file, b.file) AS file, coalesce(a.record, b.record) AS record,
        CASE WHEN b.hash IS NULL THEN 'missing' WHEN a.hash IS NULL THEN 'extra' ELSE 'changed' END AS state,
        a.hash AS left_hash, b.hash AS right_hash, a.at AS left_offset, b.at AS right_offset
-FROM a FULL JOIN b ON a.record = b.record WHERE a.hash IS DISTINCT FROM b.hash""",
+FROM a FULL JOIN b ON a.file = b.file AND a.record = b.record WHERE a.hash IS DISTINCT FROM b.hash""",
 }
