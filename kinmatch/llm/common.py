@@ -8,6 +8,7 @@ import ctypes
 import gc
 import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -54,14 +55,45 @@ def scratch(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if open_ := getattr(_MADE, "open", None):
+        open_[-1].append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+_MADE = threading.local()
+
+
+@contextlib.contextmanager
+def dropping(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Drops the scratch tables that are made within, but those given to keep(): the ones that a result still reads."""
+    _MADE.open = [*getattr(_MADE, "open", []), []]
+    kept: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._scratch)
+        return df
+
+    try:
+        yield keep
+    finally:
+        made = _MADE.open.pop()
+        for path in made:
+            if path not in kept:
+                _delete(spark, path)
+        if _MADE.open:
+            _MADE.open[-1].extend(p for p in made if p in kept)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Removes every scratch table of this application."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(conf).delete(path, True)
+    _delete(spark, scratch_root(spark))
 
 
 def only(df: DataFrame, *names: str) -> DataFrame:
@@ -213,25 +245,27 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     edges, so that no neighbourhood is ever gathered. Both join sides come from written tables: each has an
     exchange of its own, and adaptive execution can split a hot node.
     """
-    cur = scratch(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
-    n = cur.count()
-    for _ in range(max_rounds):
-        # large-star: neighbours larger than u move to the smallest of u and its neighbours
-        both = cur.select("u", "v").unionAll(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = scratch(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least", 2 * n)
-        large = cur.select(F.col("v").alias("k"), F.col("u").alias("w")).join(least.withColumnRenamed("u", "k"), "k").select(F.col("w").alias("u"), F.col("m").alias("v"))
-        large = scratch(large.where("u <> v").distinct(), "large", n)
-        # small-star: u and its smaller neighbours move to the smallest of them
-        least = scratch(large.groupBy("u").agg(F.min("v").alias("m")), "least", n)
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        new = scratch(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "edges", 2 * n)
-        before, n = n, new.count()
-        same = n == before and not new.exceptAll(cur).take(1)
-        cur = new
-        if same:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    with dropping(edges.sparkSession) as keep:
+        cur = scratch(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
+        n = cur.count()
+        for _ in range(max_rounds):
+            # large-star: neighbours larger than u move to the smallest of u and its neighbours
+            both = cur.select("u", "v").unionAll(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = scratch(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least", 2 * n)
+            large = cur.select(F.col("v").alias("k"), F.col("u").alias("w")).join(least.withColumnRenamed("u", "k"), "k").select(F.col("w").alias("u"), F.col("m").alias("v"))
+            large = scratch(large.where("u <> v").distinct(), "large", n)
+            # small-star: u and its smaller neighbours move to the smallest of them
+            least = scratch(large.groupBy("u").agg(F.min("v").alias("m")), "least", n)
+            small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+            new = scratch(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "edges", 2 * n)
+            before, n = n, new.count()
+            same = n == before and not new.exceptAll(cur).take(1)
+            cur = new
+            if same:
+                break
+        else:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        keep(cur)
     return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 

@@ -222,10 +222,11 @@ def dedup(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     """
     docs = docs.drop("lines_removed", "lines_kept")
     doc, text, gone = (common.unused(docs.columns, x) for x in ("doc", "hash", "gone"))
-    later = repeated(docs.select("doc_id", F.xxhash64("text").alias("hash"), "text"), shape)
-    # at most one entry for each span of a document
-    lists = later.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(doc), F.col("hash").alias(text)).agg(F.collect_set(F.struct("line", "end")).alias(gone))
-    lists = common.scratch(lists, "gone")
+    with common.dropping(docs.sparkSession) as keep:
+        later = repeated(docs.select("doc_id", F.xxhash64("text").alias("hash"), "text"), shape)
+        # at most one entry for each span of a document
+        lists = later.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(doc), F.col("hash").alias(text)).agg(F.collect_set(F.struct("line", "end")).alias(gone))
+        lists = keep(common.scratch(lists, "gone"))
     # only documents that may lose lines meet the lists; the others pass as they are
     maybe, rest = common.by_bits(docs, "doc_id", common.id_bits(lists, doc))
     maybe = maybe.withColumn(common.unused([*docs.columns, doc, text, gone], "own"), F.xxhash64("text"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -136,17 +136,27 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "text_hash", "rounds", "parts")
 
 
+def remix(docs: DataFrame, **how: object) -> DataFrame:
+    """apply() of mix(), which keeps what the result reads alone."""
+    with common.dropping(docs.sparkSession) as keep:
+        return _applied(docs, mix(docs, **how), keep)
+
+
 def apply(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """Documents as the mix takes them: whole rounds repeat the row, a part of a round has the words of its blocks.
 
     A document of which nothing is taken goes. Columns stay, whatever their names; n_chars, where there is one,
     follows the text. Rows that repeat a doc_id and its text come from one of them, as often as all of them are taken.
     """
+    return _applied(docs, mixed, lambda table: table)
+
+
+def _applied(docs: DataFrame, mixed: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     doc, text, own, takes = (common.unused(docs.columns, x) for x in ("doc", "hash", "own", "takes"))
     # rows of one doc_id and text stand together in a shard: all but a few of them are taken in whole rounds
     each = mixed.where("taken > 0").groupBy(F.col("doc_id").alias(doc), F.col("text_hash").alias(text))
     each = each.agg(F.struct(F.sum("rounds").alias("rounds"), F.flatten(F.collect_list(F.when(F.size("parts") > 0, F.col("parts")))).alias("parts"), F.count("*").alias("rows")).alias(takes))
-    each = common.scratch(each, "takes")
+    each = keep(common.scratch(each, "takes"))
     both = docs.withColumn(own, F.xxhash64("text")).join(each, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(text)))
     if each.where(F.col(takes)["rows"] > 1).take(1):
         many = F.col(takes)["rows"] > 1

@@ -11,7 +11,7 @@ again, without losing a link, until buckets are small or hold one component.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -241,11 +241,16 @@ def _differences(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> Dat
     return common.map_batches(apart, order, "doc long, hub long, n int, size int, linked boolean, prefix array<long>", keeps=HASHES)
 
 
-def drop_copies(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Documents without those that aren't the smallest of their component; rows with a null doc_id stay."""
-    gone = common.scratch(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "copies")
-    maybe, rest = common.by_bits(docs, "doc_id", common.id_bits(gone, "gone_id"))
-    return maybe.join(gone, maybe["doc_id"] == gone["gone_id"], "left_anti").unionByName(rest)
+def without_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """Documents without those that aren't the smallest of their component; rows with a null doc_id stay.
+
+    Columns stay, whatever their names; rows that repeat a doc_id stay or go together.
+    """
+    with common.dropping(docs.sparkSession) as keep:
+        groups, name = join(docs, k, percent), common.unused(docs.columns, "gone")
+        gone = keep(common.scratch(groups.where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct(), "copies"))
+    maybe, rest = common.by_bits(docs, "doc_id", common.id_bits(gone, name))
+    return maybe.join(gone, F.col("doc_id") == F.col(name), "left_anti").unionByName(rest)
 
 
 def join(docs: DataFrame, k: int = 5, percent: int = 80, small_bucket: int = 8, large_bucket: int = 32, levels: int = 6, hubs: int = 16) -> DataFrame:
@@ -262,17 +267,23 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, small_bucket: int = 8,
     whose component is null. Rows that repeat a doc_id should repeat its text. Equal sets are linked. An empty
     table gives no rows; extra columns are ignored.
     """
-    docs = common.only(docs, "doc_id", "text")
+    with common.dropping(docs.sparkSession) as keep:
+        return _joined(common.only(docs, "doc_id", "text"), k, percent, small_bucket, large_bucket, levels, hubs, keep)
+
+
+def _joined(docs: DataFrame, k: int, percent: int, small_bucket: int, large_bucket: int, levels: int, hubs: int, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     rarity = counted_shingles(docs, k)
-    sig = common.scratch(signatures(docs, k, percent, rarity), "signatures")
-    named = sig.where("doc_id IS NOT NULL AND n > 0")
-    classes = common.scratch(named.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("centre").alias("centre"), F.first("prefix").alias("prefix"), F.first("bins").alias("bins")), "classes")
+    with common.dropping(docs.sparkSession) as hold:
+        every = common.scratch(signatures(docs, k, percent, rarity), "signatures")
+        named = every.where("doc_id IS NOT NULL AND n > 0")
+        sig = hold(keep(common.scratch(every.select("doc_id", "n", "d1", "d2"), "digests")))
+        classes = hold(common.scratch(named.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("centre").alias("centre"), F.first("prefix").alias("prefix"), F.first("bins").alias("bins")), "classes"))
     bins = classes.select("doc", "n", "bins")
     known = docs.where("doc_id IS NOT NULL")
     component = common.empty(docs.sparkSession, "node long, component long")
 
     def shared(index: DataFrame) -> tuple[DataFrame, int]:
-        """The rows of (key, doc, hub, n, size, pos, short, linked) whose key can make a pair, and how many."""
+        """The rows of (key, doc, n, pos, short, ...) whose key can make a pair, and how many."""
         many = index.groupBy("key").agg(F.count("*").alias("rows"), F.count_if("short").alias("shorts")).where("rows > 1 AND shorts > 0").drop("rows")
         out = common.scratch(index.join(many, "key"), "shared")
         return out, out.count()
@@ -329,9 +340,8 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, small_bucket: int = 8,
             before, at = left, at + 1
 
     short = F.col("pos") <= F.col("n") - F.ceil(F.col("n") * 2 * percent / F.lit(100 + percent))
-    index = classes.select("doc", F.col("doc").alias("hub"), "n", F.col("n").alias("size"), F.posexplode("prefix").alias("pos", "key"), F.lit(False).alias("linked"))
-    rows, n = shared(index.withColumn("short", short))
-    rows = rows.withColumns({"component": F.col("doc"), "main": F.lit(None).cast("long"), "outside": F.col("shorts")})
+    rows, n = shared(classes.select("doc", "n", F.posexplode("prefix").alias("pos", "key")).withColumn("short", short))
+    rows = rows.withColumns({"hub": F.col("doc"), "size": F.col("n"), "linked": F.lit(False), "component": F.col("doc"), "main": F.lit(None).cast("long"), "outside": F.col("shorts")})
     large = rows.where(F.col("shorts") > small_bucket)
     groups = to_hub(large, 0)
     hub_sizes = groups.where("doc = hub").select("hub", F.col("hub").alias("other"), F.col("n").alias("other_n")).distinct()
@@ -351,13 +361,9 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, small_bucket: int = 8,
         index = apart.select("doc", "hub", "n", "size", "linked", F.posexplode("prefix").alias("pos", "token"))
         large, n = shared(index.select("doc", "hub", "n", "size", "pos", F.xxhash64("hub", "token").alias("key"), "linked", (F.col("pos") <= F.floor(most / 2)).alias("short")))
         compare(common.empty(docs.sparkSession, "doc long, other long, need int"), apart.where("linked").select(F.least("doc", "hub").alias("u"), F.greatest("doc", "hub").alias("v")))
-    return _answer(sig, classes, component)
-
-
-def _answer(sig: DataFrame, classes: DataFrame, component: DataFrame) -> DataFrame:
-    """Each document with the component of its class."""
     label = classes.select("d1", "d2", "doc").join(component.withColumnRenamed("node", "doc"), "doc", "left")
-    label = common.scratch(label.select("d1", "d2", F.coalesce("component", "doc").alias("component")), "labels")
+    label = keep(common.scratch(label.select("d1", "d2", F.coalesce("component", "doc").alias("component")), "labels"))
     out = sig.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "d1", "d2").join(label, ["d1", "d2"], "left")
     alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
     return out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+
