@@ -30,13 +30,13 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest doc_id."""
-    return ngram_join.drop_copies(docs, ngram_join.join(docs))
+    """One document of each group of near copies stays, the one with the smallest doc_id. Rows with a null doc_id stay."""
+    return ngram_join.without_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats, keeps, shortens or drops documents as the mix of their sources takes them."""
-    return mixing.apply(docs, mixing.mix(docs))
+    return mixing.remix(docs)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
