@@ -168,11 +168,11 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int, name: str) -> DataFrame:
     bits = common.id_bits(ids, "id")
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        for b in batches:
+        for b in batches:  # 64 sets at a time: long texts have large ones
             take = pa.array(np.sort(np.unique(b["doc_id"].to_numpy(), return_index=True)[1]))
             take = take.filter(pa.array(common.bit_of(bits.value, b["doc_id"].take(take))))
-            for i in range(0, len(take), 256):
-                part = take[i : i + 256]
+            for i in range(0, len(take), 64):
+                part = take[i : i + 64]
                 yield {name: b["doc_id"].take(part), f"{name}_set": [shingles(t, k).view(np.int64) for t in b["text"].take(part).to_pylist()]}
 
     return common.map_batches(docs, run, f"{name} long, {name}_set array<long>", keeps=HASHES)
@@ -219,7 +219,8 @@ def _differences(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> Dat
                 out["apart"].append(apart.view(np.int64))
             yield {"doc": b["doc"], "hub": b["hub"], **out}
 
-    both = pairs.join(hubs, "hub").join(own, "doc").select("doc", "hub", "doc_set", "hub_set")
+    # merged whatever their size, so that no task runs two Python workers at once
+    both = pairs.join(hubs.hint("merge"), "hub").join(own.hint("merge"), "doc").select("doc", "hub", "doc_set", "hub_set")
     apart = common.scratch(common.map_batches(both, subtract, "doc long, hub long, n int, linked boolean, keep int, apart array<long>", keeps=HASHES), "apart")
 
     def elements(b: dict) -> Iterator[np.ndarray]:
