@@ -301,7 +301,10 @@ def _joined(docs: DataFrame, k: int, percent: int, small_bucket: int, large_buck
     def compare(pairs: DataFrame, more: DataFrame | None = None) -> None:
         """Joins components by the links among the pairs, and by more links."""
         nonlocal component
-        pairs = common.scratch(_suffix_filtered(pairs.dropDuplicates(["doc", "other"]), bins), "pairs")
+        pairs = common.scratch(pairs.dropDuplicates(["doc", "other"]), "met")
+        if pairs.take(1):  # only the bins of these classes meet them
+            touched = common.id_bits(pairs.select(F.explode(F.array("doc", "other")).alias("id")), "id")
+            pairs = common.scratch(_suffix_filtered(pairs, common.by_bits(bins, "doc", touched)[0]), "pairs")
         found = [_verified(pairs, known, k)] if pairs.take(1) else []
         found += [] if more is None else [more]
         if not found or not (links := common.scratch(reduce(DataFrame.unionAll, found).distinct(), "links")).take(1):
