@@ -44,3 +44,14 @@ def test_words(spark):
     df = spark.createDataFrame([(["a", "a", "b", "a", "the"],)], "w array<string>")
     assert df.select(refine.drop_repeats(F.col("w"))).first()[0] == ["a", "b", "a", "the"]
     assert df.select(refine.drop_stop_words(F.col("w"), ["the"])).first()[0] == ["a", "a", "b", "a"]
+
+
+def test_sweep_counts_scores_beside_every_threshold(spark):
+    from kinmatch.operators import evaluate
+
+    steps = evaluate.grid()
+    scores = [0.0, 1.0, -1.0, 2.0, None, *(t + d for t in steps for d in (0, 1e-12, -1e-12, 0.005))]
+    df = spark.createDataFrame([(str(i), "c", v) for i, v in enumerate(scores)], "s1_id string, cand_id string, score double")
+    truth = spark.createDataFrame([("0", "c")], "s1_id string, true_id string")
+    got = {r["threshold"]: r["n_predictions"] for r in evaluate.threshold_sweep(df, truth).collect()}
+    assert got == {round(t, 4): sum(v is not None and v >= t for v in scores) for t in steps}
