@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ADDRESS_ABBREVIATIONS, FULL, NAME_ABBREVIATIONS
-from ..functions import similarity, text
+from ..functions import text
 from ..operators import blocking, decide, evaluate, features, learn, lsh, nearest, profile, tfidf
 from ..sources import tables
 
@@ -447,21 +447,8 @@ def skipped_pairs(spark: SparkSession, d: str) -> DataFrame:
     return features.skipped(_candidates(s1, pool), s1, pool.where(F.col("entity_id").startswith("S2-")))
 
 
-@query("SELECT vec_id, other_id, round(cos, 6) AS cos, rank FROM (SELECT a.vec_id, b.vec_id AS other_id, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS cos, (row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) DESC, b.vec_id))::INT AS rank FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0) WHERE rank <= 5".replace("SELECT vec_id", "WITH x AS (SELECT 1) SELECT vec_id", 1))
-def embedding_cosine_topk(spark: SparkSession, d: str) -> DataFrame:
-    """The five nearest vectors of the same label, for the stated query set of every hundredth vector."""
-    from pyspark.sql import Window
-
-    e = spark.read.parquet(f"{d}/embeddings.parquet")
-    q = e.where(F.col("vec_id") % 100 == 0).select("vec_id", "label", F.col("embedding").alias("a"))
-    both = q.join(e.select(F.col("vec_id").alias("other_id"), "label", F.col("embedding").alias("b")), "label").where("vec_id <> other_id")
-    scored = both.select("vec_id", "other_id", similarity.cosine(F.col("a"), F.col("b")).alias("cos"))
-    w = Window.partitionBy("vec_id").orderBy(F.desc(F.round("cos", 9)), "other_id")
-    return scored.withColumn("rank", F.row_number().over(w)).where("rank <= 5").withColumn("cos", F.round("cos", 6))
-
-
 @query("SELECT vec_id, other_id, round(cos, 6) AS cos, rank FROM (SELECT a.vec_id, b.vec_id AS other_id, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS cos, (row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) DESC, b.vec_id))::INT AS rank FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0) WHERE rank <= 5".replace("SELECT vec_id", "WITH x AS (SELECT 1) SELECT vec_id", 1))
-def embedding_cosine_topk_all(spark: SparkSession, d: str) -> DataFrame:
+def embedding_cosine_topk(spark: SparkSession, d: str) -> DataFrame:
     """The five nearest of all vectors, whatever their label, for the stated query set of every hundredth vector."""
     e = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", "embedding")
     return nearest.top_k(e.where(F.col("vec_id") % 100 == 0), e, 5).withColumn("cos", F.round("cos", 6))

@@ -18,5 +18,5 @@ def test_all_rows_are_searched(spark, tables, monkeypatch):
             want |= {(r["vec_id"], o, k + 1) for k, (_, o) in enumerate(order[:5])}
     for block in (4096, 2):
         monkeypatch.setattr(nearest, "BLOCK", block)
-        got = catalog.QUERIES["embedding_cosine_topk_all"](spark, tables).collect()
+        got = catalog.QUERIES["embedding_cosine_topk"](spark, tables).collect()
         assert {(r["vec_id"], r["other_id"], r["rank"]) for r in got} == want
