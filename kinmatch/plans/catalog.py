@@ -7,6 +7,7 @@ that share part name and brand are true matches.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -328,6 +329,7 @@ def bm25_retrieval(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _found(s1: DataFrame, pool: DataFrame) -> list[DataFrame]:
+    """The three passes on keys that SQL can state; the queries keyed_* and those of single pairs take them."""
     broad = blocking.postal(s1, pool).union(blocking.postal_narrow(s1, pool)).distinct()
     return [blocking.tagged(p, n) for n, p in (("A_exact", blocking.exact_name(s1, pool)), ("D_postal", broad), ("G_prefix", blocking.prefix(s1, pool)))]
 
@@ -337,23 +339,23 @@ def _candidates(s1: DataFrame, pool: DataFrame, cap: int | None = 500) -> DataFr
 
 
 @query("SELECT *, -1.0::DOUBLE AS B_char_tfidf_score, -1.0::DOUBLE AS C_token_tfidf_score, -1 AS B_char_tfidf_rank, -1 AS C_token_tfidf_rank FROM merged")
-def union_candidates(spark: SparkSession, d: str) -> DataFrame:
+def keyed_union(spark: SparkSession, d: str) -> DataFrame:
     return _candidates(*sides(spark, d), cap=None)
 
 
 @query("SELECT s1_id, cand_id, passes_hit FROM merged QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY passes_hit DESC, cand_id) <= 5")
-def candidate_cap(spark: SparkSession, d: str) -> DataFrame:
+def keyed_cap(spark: SparkSession, d: str) -> DataFrame:
     return _candidates(*sides(spark, d), cap=5).select("s1_id", "cand_id", "passes_hit")
 
 
 @query("SELECT s1.entity_id AS source1_entity_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS candidate_entity_ids FROM s1 LEFT JOIN merged ON s1.entity_id = merged.s1_id GROUP BY 1")
-def candidate_lists(spark: SparkSession, d: str) -> DataFrame:
+def keyed_lists(spark: SparkSession, d: str) -> DataFrame:
     s1, pool = sides(spark, d)
     return tables.match_lists(s1.select(F.col("entity_id").alias("s1_id")), _candidates(s1, pool), "candidate_entity_ids")
 
 
 @query("SELECT count(*) AS total_true_pairs, count(m.cand_id) AS covered_pairs, count(m.cand_id)::DOUBLE / count(*) AS blocking_recall, count(*) - count(m.cand_id) AS missed_pairs FROM (SELECT DISTINCT * FROM truth WHERE true_id IS NOT NULL) t LEFT JOIN merged m ON t.s1_id = m.s1_id AND t.true_id = m.cand_id")
-def blocking_recall(spark: SparkSession, d: str) -> DataFrame:
+def keyed_recall(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.blocking_recall(_candidates(*sides(spark, d)), truth(spark, d))
 
 
@@ -361,30 +363,82 @@ def blocking_recall(spark: SparkSession, d: str) -> DataFrame:
 , o AS (SELECT * FROM (VALUES (0, 'A_exact'), (1, 'D_postal'), (2, 'G_prefix')) v(step, pass)), t AS (SELECT DISTINCT s1_id, true_id FROM truth WHERE true_id IS NOT NULL),
 firsts AS (SELECT t.s1_id, t.true_id, min(step) AS step FROM t JOIN tagged g ON t.s1_id = g.s1_id AND t.true_id = g.cand_id JOIN o USING (pass) GROUP BY ALL), n AS (SELECT step, count(*) AS n FROM firsts GROUP BY step)
 SELECT pass, coalesce(n, 0) AS gained, (sum(coalesce(n, 0)) OVER (ORDER BY step))::BIGINT AS covered, sum(coalesce(n, 0)) OVER (ORDER BY step) / (SELECT count(*) FROM t)::DOUBLE AS recall FROM o LEFT JOIN n USING (step)""")
-def recall_by_pass(spark: SparkSession, d: str) -> DataFrame:
+def keyed_recall_by_pass(spark: SparkSession, d: str) -> DataFrame:
     found = _found(*sides(spark, d))
     return evaluate.recall_by_pass(found[0].union(found[1]).union(found[2]), truth(spark, d), ["A_exact", "D_postal", "G_prefix"])
 
 
-@query("SELECT DISTINCT t.s1_id, t.true_id AS cand_id FROM truth t LEFT JOIN p_a m ON t.s1_id = m.s1_id AND t.true_id = m.cand_id WHERE t.true_id IS NOT NULL AND m.cand_id IS NULL")
-def missed_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return evaluate.missed_pairs(blocking.exact_name(*sides(spark, d)), truth(spark, d))
+@query("SELECT DISTINCT t.s1_id, t.true_id AS cand_id FROM truth t LEFT JOIN merged m ON t.s1_id = m.s1_id AND t.true_id = m.cand_id WHERE t.true_id IS NOT NULL AND m.cand_id IS NULL")
+def keyed_missed_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return evaluate.missed_pairs(_candidates(*sides(spark, d)), truth(spark, d))
 
 
 @query("""
 , n AS (SELECT s1.entity_id, count(m.cand_id) AS n FROM s1 LEFT JOIN merged m ON s1.entity_id = m.s1_id GROUP BY 1)
 SELECT avg(n) AS mean_candidates, quantile_cont(n, 0.5)::DOUBLE AS median_candidates, quantile_cont(n, 0.95)::DOUBLE AS p95_candidates, max(n) AS max_candidates, 1 - sum(n)::DOUBLE / (count(*) * (SELECT count(*) FROM pool)) AS reduction_ratio FROM n""")
-def blocking_diagnostics(spark: SparkSession, d: str) -> DataFrame:
+def keyed_diagnostics(spark: SparkSession, d: str) -> DataFrame:
     s1, pool = sides(spark, d)
     return evaluate.blocking_diagnostics(_candidates(s1, pool), s1, pool)
 
 
+# --- blocking by all passes of the profile; phonetic codes and hashed signatures are out of SQL's reach ----------
+
+
+def _every(spark: SparkSession, d: str) -> list[DataFrame]:
+    return blocking.passes(*sides(spark, d, phonetics=True), FULL)
+
+
+def _full(spark: SparkSession, d: str, cap: int | None = FULL.candidate_cap) -> DataFrame:
+    return blocking.union_candidates(_every(spark, d), cap)
+
+
+@query()
+def union_candidates(spark: SparkSession, d: str) -> DataFrame:
+    return _full(spark, d, cap=None)
+
+
+@query()
+def candidate_cap(spark: SparkSession, d: str) -> DataFrame:
+    return _full(spark, d).select("s1_id", "cand_id", "passes_hit")
+
+
+@query()
+def candidate_lists(spark: SparkSession, d: str) -> DataFrame:
+    return tables.match_lists(_ids(spark, d), _full(spark, d), "candidate_entity_ids")
+
+
+@query()
+def blocking_recall(spark: SparkSession, d: str) -> DataFrame:
+    return evaluate.blocking_recall(_full(spark, d), truth(spark, d))
+
+
+@query()
+def recall_by_pass(spark: SparkSession, d: str) -> DataFrame:
+    return evaluate.recall_by_pass(reduce(DataFrame.unionByName, _every(spark, d)), truth(spark, d), list(FULL.passes))
+
+
+@query()
+def missed_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return evaluate.missed_pairs(_full(spark, d), truth(spark, d))
+
+
+@query()
+def blocking_diagnostics(spark: SparkSession, d: str) -> DataFrame:
+    return evaluate.blocking_diagnostics(_full(spark, d), *sides(spark, d))
+
+
+@query()
+def match_lists(spark: SparkSession, d: str) -> DataFrame:
+    scores = _matrix(spark, d, full=True).select("s1_id", "cand_id", features.rule_score().alias("score"))
+    return tables.match_lists(_ids(spark, d), decide.apply_threshold(scores, 0.6))
+
+
 # --- features ------------------------------------------------------------------------------------------------
 
 
-def _matrix(spark: SparkSession, d: str, fuzzy: bool = False, labelled: bool = False) -> DataFrame:
+def _matrix(spark: SparkSession, d: str, fuzzy: bool = False, labelled: bool = False, full: bool = False) -> DataFrame:
     s1, pool = sides(spark, d, phonetics=fuzzy)
-    return features.build(_candidates(s1, pool), s1, pool, truth(spark, d) if labelled else None, fuzzy)
+    return features.build(_full(spark, d) if full else _candidates(s1, pool), s1, pool, truth(spark, d) if labelled else None, fuzzy)
 
 
 _LEV = "CASE WHEN {a} = '' OR {b} = '' THEN -1.0 ELSE 1 - levenshtein({a}, {b})::DOUBLE / greatest(length({a}), length({b})) END"
@@ -509,7 +563,7 @@ def country_threshold(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("SELECT s1.entity_id AS source1_entity_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS matched_entity_ids FROM s1 LEFT JOIN chosen ON s1.entity_id = chosen.s1_id GROUP BY 1")
-def match_lists(spark: SparkSession, d: str) -> DataFrame:
+def keyed_match_lists(spark: SparkSession, d: str) -> DataFrame:
     s1, _ = sides(spark, d)
     return tables.match_lists(s1.select(F.col("entity_id").alias("s1_id")), _chosen(spark, d))
 
@@ -600,10 +654,10 @@ def class_weights(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _trained(spark: SparkSession, d: str) -> tuple[learn.Trained, DataFrame, DataFrame]:
-    matrix = _matrix(spark, d, labelled=True).persist()
+    matrix = _matrix(spark, d, labelled=True, full=True).persist()
     split = entity_split(spark, d).persist()
     part = lambda n: split.where(F.col("split") == n)
-    return learn.train(matrix, part("train"), part("validation"), trees=15, depth=4), matrix, part("test")
+    return learn.train(matrix, part("train"), part("validation")), matrix, part("test")
 
 
 @query()

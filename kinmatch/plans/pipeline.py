@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
 from dataclasses import asdict
 
@@ -25,9 +26,14 @@ def report(spark: SparkSession, s1: DataFrame, s2: DataFrame, s3: DataFrame, tru
     }
 
 
+def artefacts(work: str, options: Profile) -> str:
+    """The folder of a profile's tables and models: another profile never finds them."""
+    return f"{work}/{hashlib.md5(json.dumps(asdict(options), sort_keys=True).encode()).hexdigest()[:12]}"
+
+
 def prepare(spark: SparkSession, folder: str, split: str, work: str, options: Profile) -> list[DataFrame]:
-    """The three sources of a split, preprocessed once and kept in the work folder."""
-    out = []
+    """The three sources of a split, preprocessed once and kept in the profile's folder."""
+    work, out = artefacts(work, options), []
     for k in (1, 2, 3):
         path = f"{folder}/{split}_source{k}.tsv"
         out.append(tables.cached(spark, f"{work}/{split}_source{k}.parquet", lambda p=path, k=k: preprocess(tables.read_source(spark, p, f"source {k}"), options)))
@@ -35,8 +41,9 @@ def prepare(spark: SparkSession, folder: str, split: str, work: str, options: Pr
 
 
 def train(spark: SparkSession, folder: str, work: str, options: Profile = FULL) -> tuple[learn.Trained, float, dict]:
-    """Blocking, features, model and threshold; artefacts go to the work folder and are found there again."""
+    """Blocking, features, model and threshold; artefacts go to the profile's folder and are found there again."""
     s1, s2, s3 = prepare(spark, folder, "train", work, options)
+    work = artefacts(work, options)
     truth = tables.ground_truth_pairs(tables.read_ground_truth(spark, f"{folder}/train_ground_truth.tsv"))
     candidates = tables.cached(spark, f"{work}/train_candidates.parquet", lambda: blocking.run(s1, s2, s3, options))
     recall = evaluate.blocking_recall(candidates, truth).first().asDict()
@@ -58,17 +65,18 @@ def train(spark: SparkSession, folder: str, work: str, options: Profile = FULL)
     return model, best["threshold"], meta
 
 
-def predict(spark: SparkSession, folder: str, work: str, out: str, model: learn.Trained, threshold: float, options: Profile = FULL, by_country: dict[str, float] | None = None, fallback: float | None = None) -> DataFrame:
+def predict(spark: SparkSession, folder: str, work: str, out: str, model: learn.Trained, threshold: float, options: Profile = FULL, by_country: dict[str, float] | None = None, fallback: float | None = None, single: bool = False) -> DataFrame:
     """Match lists and candidate lists of the test split as TSV; returns the findings of the integrity checks."""
     s1, s2, s3 = prepare(spark, folder, "test", work, options)
+    work = artefacts(work, options)
     pool, ids = blocking.pool_of(s2, s3), s1.select(F.col("entity_id").alias("s1_id"))
     candidates = tables.cached(spark, f"{work}/test_candidates.parquet", lambda: blocking.run(s1, s2, s3, options))
     matrix = tables.cached(spark, f"{work}/test_features.parquet", lambda: features.build(candidates, s1, pool))
     countries = s1.select(F.col("entity_id").alias("s1_id"), "country_norm")
     chosen = decide.apply_threshold(model.score(matrix), threshold, countries, by_country, fallback)
     lists = tables.match_lists(ids, decide.autofix(chosen, pool, candidates))
-    tables.write_lists(lists, f"{out}/matching_results")
-    tables.write_lists(tables.match_lists(ids, candidates, "candidate_entity_ids"), f"{out}/candidate_pairs")
+    tables.write_lists(lists, f"{out}/matching_results", single)
+    tables.write_lists(tables.match_lists(ids, candidates, "candidate_entity_ids"), f"{out}/candidate_pairs", single)
     return decide.integrity(lists, s1, pool, candidates)
 
 
@@ -79,11 +87,12 @@ def main(args: list[str] | None = None) -> None:
     parser.add_argument("--work", required=True, help="folder of artefacts")
     parser.add_argument("--out", help="folder of results; the work folder by default")
     parser.add_argument("--threshold", type=float, help="instead of the one found in training")
+    parser.add_argument("--single-file", action="store_true", help="each result as one file")
     parser.add_argument("--profile", choices=("full", "lite"), default="full")
     a = parser.parse_args(args)
     spark = SparkSession.builder.appName("kinmatch").getOrCreate()
     options = LITE if a.profile == "lite" else FULL
-    if a.mode == "eda":
+    if a.mode in ("eda", "train", "full"):
         s1, s2, s3 = (tables.read_source(spark, f"{a.data}/train_source{k}.tsv") for k in (1, 2, 3))
         found = report(spark, s1, s2, s3, tables.read_ground_truth(spark, f"{a.data}/train_ground_truth.tsv"))
         tables.save_json(found, f"{a.work}/eda_report.json")
@@ -93,10 +102,10 @@ def main(args: list[str] | None = None) -> None:
         model, best, _ = train(spark, a.data, a.work, options)
         threshold = best if threshold is None else threshold
     if a.mode in ("predict", "full"):
-        model = model or learn.Trained.load(f"{a.work}/model")
+        model = model or learn.Trained.load(f"{artefacts(a.work, options)}/model")
         if threshold is None:
-            threshold = tables.load_json(f"{a.work}/experiment.json")["threshold"]
-        predict(spark, a.data, a.work, a.out or a.work, model, threshold, options).show(50, False)
+            threshold = tables.load_json(f"{artefacts(a.work, options)}/experiment.json")["threshold"]
+        predict(spark, a.data, a.work, a.out or a.work, model, threshold, options, single=a.single_file).show(50, False)
 
 
 if __name__ == "__main__":

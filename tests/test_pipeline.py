@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from kinmatch.config import LITE
+from kinmatch.config import FULL, LITE
 from kinmatch.functions.text import preprocess
 from kinmatch.operators import blocking, decide, evaluate, features, learn, lsh, tfidf
 from kinmatch.plans import catalog, pipeline
@@ -55,12 +55,31 @@ def test_sources_round_trip(spark, tmp_path):
         T.read_source(spark, str(tmp_path / "bad.tsv"))
 
 
+def test_line_breaks_in_quoted_fields(spark, tmp_path):
+    p = tmp_path / "s.tsv"
+    p.write_text('entity_id\tbusiness_name\tbusiness_address\tcountry\nS1-1\t"Foo\nBar"\tx\tUS\nS2-2\t"a ""b"""\ty\tUS\n', encoding="utf-8")
+    rows = {r["entity_id"]: r["business_name"] for r in T.read_source(spark, str(p)).collect()}
+    assert rows == {"S1-1": "Foo\nBar", "S2-2": 'a "b"'}
+
+
+def test_cache_is_a_profiles_own_and_whole(spark, tmp_path):
+    full, lite = pipeline.artefacts(str(tmp_path), FULL), pipeline.artefacts(str(tmp_path), LITE)
+    assert T.cached(spark, f"{full}/t", lambda: spark.range(3)).count() == 3
+    assert T.cached(spark, f"{lite}/t", lambda: spark.range(5)).count() == 5
+    assert T.cached(spark, f"{full}/t", lambda: spark.range(7)).count() == 3
+    (tmp_path / full / "t" / "_SUCCESS").unlink()
+    assert T.cached(spark, f"{full}/t", lambda: spark.range(7)).count() == 7
+
+
 def test_lists_round_trip(spark, tmp_path):
     ids = spark.createDataFrame([("S1-2",), ("S1-1",)], "s1_id string")
     lists = T.match_lists(ids, pairs(spark, [("S1-1", "S3-1"), ("S1-1", "S2-9"), ("S1-1", "S2-9")]))
-    T.write_lists(lists, str(tmp_path / "out"))
+    T.write_lists(lists, str(tmp_path / "out"), single=True)
     text = next((tmp_path / "out").glob("part-*.csv")).read_text()
     assert text == "source1_entity_id\tmatched_entity_ids\nS1-1\tS2-9,S3-1\nS1-2\t\n"
+    T.write_lists(lists, str(tmp_path / "parts"))
+    parts = [x for f in sorted((tmp_path / "parts").glob("part-*.csv")) for x in f.read_text().splitlines()[1:]]
+    assert parts == text.splitlines()[1:]
     back = T.ground_truth_pairs(T.read_ground_truth(spark, str(tmp_path / "out")))
     assert {tuple(r) for r in back.collect()} == {("S1-1", "S2-9"), ("S1-1", "S3-1"), ("S1-2", None)}
 
@@ -151,7 +170,7 @@ def test_whole_pipeline(spark, tables, tmp_path):
     work = str(tmp_path / "work")
     model, threshold, meta = pipeline.train(spark, str(tmp_path), work, LITE)
     assert 0 < threshold < 1 and len(meta["features"]) == 55
-    again = learn.Trained.load(f"{work}/model")
+    again = learn.Trained.load(f"{pipeline.artefacts(work, LITE)}/model")
     findings = pipeline.predict(spark, str(tmp_path), work, str(tmp_path / "out"), again, threshold, LITE)
     assert findings.count() == 0
     assert T.read_ground_truth(spark, str(tmp_path / "out/matching_results")).count() == e.where("entity_id LIKE 'S1-%'").count()
