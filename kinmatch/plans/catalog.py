@@ -385,7 +385,9 @@ def keyed_diagnostics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _every(spark: SparkSession, d: str) -> list[DataFrame]:
-    return blocking.passes(*sides(spark, d, phonetics=True), FULL)
+    """Records are prepared once for all passes."""
+    s1, pool = (x.persist() for x in sides(spark, d, phonetics=True))
+    return blocking.passes(s1, pool, FULL)
 
 
 def _full(spark: SparkSession, d: str, cap: int | None = FULL.candidate_cap) -> DataFrame:
