@@ -120,6 +120,12 @@ def test_lsh_recall(spark, tables):
     assert near and len(near & found) / len(near) > 0.95
 
 
+def test_hashed_collisions_are_a_search(spark, tables):
+    """The stated query set of S1 against the whole pool."""
+    got = {r["s1_id"] for r in catalog.QUERIES["pass_f_minhash"](spark, tables).select("s1_id").distinct().collect()}
+    assert got == {r["entity_id"] for r in catalog.sides(spark, tables)[0].select("entity_id").collect() if int(r["entity_id"][3:]) % 100 == 0}
+
+
 def test_blank_records_do_not_collide(spark):
     df = spark.createDataFrame([("S1-1", "", ""), ("S2-1", "", "")], "entity_id string, name_clean string, address_clean string")
     assert lsh.collisions(df.limit(1), df).count() == 0
