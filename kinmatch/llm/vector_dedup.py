@@ -17,10 +17,12 @@ from . import common
 BLOCK = 1024
 #: Chance that whole runs bring together two vectors that lie just at the threshold.
 RECALL = 0.999
-#: Comparisons that cost as much as moving one row in a pass.
-ROW_COST = 1024
+#: Hashes of a key whose runs are compared whole, and the most passes that they may need.
+RUN_HASHES, MOST_PASSES = 2, 64
 #: Passes over whole runs in one job.
 TOGETHER = 4
+#: Runs of up to so many rows are compared together, longer ones one by one.
+SHORT = 32
 
 
 def rotations(dim: int, hashes: int, seed: int) -> np.ndarray:
@@ -31,15 +33,17 @@ def rotations(dim: int, hashes: int, seed: int) -> np.ndarray:
 
 def sort_keys(unit: np.ndarray, maps: np.ndarray) -> list[bytes]:
     """Concatenated hashes of unit vectors: for each map the axis that lies closest, with its sign."""
-    parts = []
-    for m in maps:
-        y = unit @ m
-        axis = np.abs(y).argmax(1)
-        parts.append((axis * 2 + (y[np.arange(len(y)), axis] > 0)).astype(">u2"))
-    joined = np.stack(parts, 1)
+    joined = np.stack([axes(unit, m).astype(">u2") for m in maps], 1)
     return [r.tobytes() for r in joined]
 
 
+def axes(unit: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """One hash of unit vectors: twice the number of the closest axis, plus its sign."""
+    y = unit @ m
+    axis = np.abs(y).argmax(1)
+    return axis * 2 + (y[np.arange(len(y)), axis] > 0)
+
+
 def as_matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
@@ -139,31 +143,21 @@ def chance(dim: int, least: float) -> float:
     return max(0.0, p - 3 * float(np.sqrt(p * (1 - p) / (n * len(maps)))))
 
 
-def plan_runs(classes: DataFrame, dim: int, least: float) -> tuple[int, int]:
-    """(hashes of a key, passes) of the cheapest whole-run comparison that reaches RECALL.
+def plan_runs(dim: int, least: float) -> tuple[int, int]:
+    """(hashes of a key, passes) of the whole-run comparison that reaches RECALL.
 
-    Shorter keys make longer runs and need fewer passes. Their cost is that of the runs that one pass has, so that
-    both follow the rows and their topics. No hash at all compares every two rows, once.
+    Both follow the dimension and the threshold alone, never the rows, so that two vectors are linked or not by the
+    same comparisons in a table of any size. Keys are shorter where RUN_HASHES would need more than MOST_PASSES
+    passes; where one hash does too, no key is left and every two rows are compared, once.
     """
-    maps = rotations(dim, 4, 9000)
-
-    def prefixes(batches: Iterator[dict]) -> Iterator[dict]:
-        for b in batches:
-            if len(b["vec"]):
-                keys = sort_keys(units(as_matrix(b["embedding"], dim)), maps)
-                yield {"k": [k for k in range(1, 5) for _ in keys], "key": [x[: 2 * k] for k in range(1, 5) for x in keys]}
-
-    rows = classes.count()
-    runs = common.map_batches(classes.select("vec", "embedding"), prefixes, "k long, key binary").groupBy("k", "key").count()
-    squares = {r["k"]: r["s"] for r in runs.groupBy("k").agg(F.sum(F.col("count").cast("double") * F.col("count")).alias("s")).collect()}
     p = chance(dim, least)
-    plans = [(float(rows) * (rows + ROW_COST), 0, 1)]
-    for k, s in squares.items():
+    for k in range(RUN_HASHES, 0, -1):
         q = p**k
         if q > 0:
             passes = 1 if q >= RECALL else int(np.ceil(np.log(1 - RECALL) / np.log1p(-q)))
-            plans.append((passes * (s + float(rows) * ROW_COST), k, passes))
-    return min(plans)[1:]
+            if passes <= MOST_PASSES:
+                return k, passes
+    return 0, 1
 
 
 def _runs(classes: DataFrame, dim: int, least: float, hashes: int, passes: int) -> DataFrame:
@@ -184,9 +178,8 @@ def _runs(classes: DataFrame, dim: int, least: float, hashes: int, passes: int)
                         # equal codes of different keys only make a run longer
                         run = np.full(len(b["vec"]), p, np.uint64)
                         if hashes:
-                            for i in range(hashes):
-                                part = np.frombuffer(b"".join(sort_keys(x, maps[i : i + 1])), ">u2")
-                                run = run * np.uint64(0x9E3779B97F4A7C15) + part.astype(np.uint64) + np.uint64(1)
+                            for m in maps:
+                                run = run * np.uint64(0x9E3779B97F4A7C15) + axes(x, m).astype(np.uint64) + np.uint64(1)
                         run = pa.array(run.view(np.int64))
                         yield {**b, "run": run} if whole else {"run": run}
 
@@ -198,22 +191,37 @@ def _runs(classes: DataFrame, dim: int, least: float, hashes: int, passes: int)
         many = max(1, total * len(these) // (2 * BLOCK))
         dealt = _dealt(rows, "run", many).select("vec", "embedding", "run", "block", "a", "b", "small", "unit")
 
-        def join(x: pd.DataFrame) -> pd.DataFrame:
-            u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for (_, a, b), g in x.groupby(["run", "a", "b"], sort=False):
-                if len(g) > 1:
-                    ids, side = g["vec"].to_numpy(np.int64), g["block"].to_numpy()
-                    m = units(np.stack(g["embedding"].to_numpy()).astype(np.float64))
-                    i, j = _close(m, side if a != b else None, least)
-                    low = _lowest(ids, i, j)
-                    u.append(low[low != ids])
-                    v.append(ids[low != ids])
-            return pd.DataFrame({"u": np.concatenate(u), "v": np.concatenate(v)})
-
-        out.append(common.scratch(dealt.groupBy("small", "unit").applyInPandas(join, "u long, v long"), "joined"))
+        def join(x: pa.Table) -> pa.Table:
+            run, a, b = (x[c].to_numpy() for c in ("run", "a", "b"))
+            at = np.lexsort((b, a, run))
+            run, a, b, ids, side = (c[at] for c in (run, a, b, x["vec"].to_numpy(), x["block"].to_numpy()))
+            m = units(as_matrix(x["embedding"].combine_chunks(), dim)[at])
+            starts = np.flatnonzero(np.r_[True, (run[1:] != run[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            sizes = np.diff(np.r_[starts, len(at)])
+            low = _lowest(ids, *_close_short(m, starts, sizes, np.where(a != b, side, -1), least))
+            for s, n in zip(starts[sizes > SHORT], sizes[sizes > SHORT], strict=True):
+                i, j = _close(m[s : s + n], side[s : s + n] if a[s] != b[s] else None, least)
+                low[s : s + n] = _lowest(ids[s : s + n], i, j)
+            return pa.table({"u": low[low != ids], "v": ids[low != ids]})
+
+        out.append(common.scratch(dealt.groupBy("small", "unit").applyInArrow(join, "u long, v long"), "joined"))
     return reduce(DataFrame.unionAll, out)
 
 
+def _close_short(m: np.ndarray, starts: np.ndarray, sizes: np.ndarray, side: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i > j) of linked rows within the runs of up to SHORT rows; rows of one side >= 0 don't meet."""
+    place = np.arange(len(m)) - np.repeat(starts, sizes)
+    place[np.repeat(sizes > SHORT, sizes)] = 0
+    i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for d in range(1, int(place.max(initial=0)) + 1):
+        at = np.flatnonzero(place >= d)
+        at = at[(side[at] != side[at - d]) | (side[at] < 0)]
+        at = at[np.einsum("ij,ij->i", m[at], m[at - d]) >= least]
+        i.append(at)
+        j.append(at - d)
+    return np.concatenate(i), np.concatenate(j)
+
+
 def _close(m: np.ndarray, side: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Places (i > j) of linked rows; with sides, only of rows of different sides."""
     i, j = [], []
@@ -275,10 +283,10 @@ def dedup(vectors: DataFrame, least: float = 0.9, passes: int = 8, hashes: int =
     """Near-duplicate groups of vectors (vec_id, embedding) by cosine in double precision.
 
     Equal vectors are a class first. In every pass the classes are sorted by concatenated random hashes and
-    compared with their neighbours. Further passes, of a key length and number that follow the rows, compare every
-    run of equal keys in full: a pair at `least` is brought together with a chance of RECALL, whatever the number of
-    rows or their topics, and small tables are compared whole. Links of all passes together give components. The
-    links of a vector are then counted exactly within its component, block by block.
+    compared with their neighbours. Further passes compare every run of equal keys in full. Their key length and
+    number follow the dimension and the threshold: a pair at `least` is brought together with a chance of RECALL,
+    whatever the number of rows or their topics, small tables included. Links of all passes together give
+    components. The links of a vector are then counted exactly within its component, block by block.
 
     Returns one row per vector: vec_id, n_links, component_id, kept. Vectors that are null, zero, of another
     length than `dim` (by default the most frequent one) or hold null or non-finite components link with nothing;
@@ -298,7 +306,7 @@ def dedup(vectors: DataFrame, least: float = 0.9, passes: int = 8, hashes: int =
     classes = common.scratch(good.groupBy("embedding").agg(F.min("vec_id").alias("vec"), F.count("*").alias("weight")).select("vec", "embedding", "weight"), "classes")
     if dim:
         pairs = _passes(classes.select("vec", "embedding"), dim, hashes, window, least, passes)
-        pairs = pairs.unionAll(_runs(classes.select("vec", "embedding"), dim, least, *plan_runs(classes, dim, least)))
+        pairs = pairs.unionAll(_runs(classes.select("vec", "embedding"), dim, least, *plan_runs(dim, least)))
         component = common.scratch(common.components(pairs.distinct()), "component")
     else:
         component = common.empty(vectors.sparkSession, "node long, component long")

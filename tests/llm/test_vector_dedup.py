@@ -84,3 +84,29 @@ def test_hashed_runs_are_compared_whole(spark):
     passes = int(np.ceil(np.log(0.001) / np.log(1 - p)))
     got = {(r["u"], r["v"]) for r in vector_dedup._runs(df, 64, 0.9, 1, passes).collect()}
     assert got <= {(i, i + 1) for i in range(0, len(x), 2)} and len(got) >= 0.995 * 4000
+
+
+def test_comparisons_do_not_follow_the_number_of_rows(spark, monkeypatch):
+    """The same keys and passes for ten rows and for more than were once compared whole."""
+    seen = []
+    none = lambda c, *a: spark.createDataFrame([], "u long, v long")
+    monkeypatch.setattr(vector_dedup, "_passes", none)
+    monkeypatch.setattr(vector_dedup, "_runs", lambda c, dim, least, hashes, passes: seen.append((hashes, passes)) or none(c))
+    for n in (10, 20_000):
+        x = np.random.default_rng(n).standard_normal((n, 64)).astype(np.float32)
+        vector_dedup.dedup(spark.createDataFrame([(i, e) for i, e in enumerate(x.tolist())], "vec_id long, embedding array<float>"))
+    assert seen[0] == seen[1]
+
+
+def test_short_and_long_runs_by_brute_force(spark):
+    """One hash a key and all rows as one run give the links of all pairs, in short runs, long ones and blocks."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate([np.repeat(rng.standard_normal((30, 4)), 1 + np.arange(30), 0) + 0.02 * rng.standard_normal((465, 4)), rng.standard_normal((800, 4))]).astype(np.float32)
+    df = spark.createDataFrame([(i, e) for i, e in enumerate(x.tolist())], "vec long, embedding array<float>")
+    unit = vector_dedup.units(x.astype(float))
+    near = unit @ unit.T >= 0.99
+    keys = [vector_dedup.sort_keys(unit, vector_dedup.rotations(4, 1, 9000 + p)) for p in range(2)]
+    same = np.any([[[a == b for b in k] for a in k] for k in keys], 0)
+    for hashes, passes, links in ((0, 1, near), (1, 2, near & same)):
+        got = [(r["u"], r["v"]) for r in vector_dedup._runs(df, 4, 0.99, hashes, passes).collect()]
+        assert components(range(len(x)), got) == components(range(len(x)), [(int(a), int(b)) for a, b in zip(*np.nonzero(np.tril(links, -1)), strict=True)])
