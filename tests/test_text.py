@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from kinmatch.functions import fuzzy, phonetic, text
+from kinmatch.functions import fuzzy, phonetic, similarity, text
 from kinmatch.functions.similarity import cosine, jaccard, levenshtein_norm
 
 
@@ -109,3 +109,10 @@ def test_ratios_side_by_side():
         assert names[n].tolist() == [plain(f, x, y) for x, y in zip(a, b, strict=True)]
         assert n not in fuzzy.ADDRESS or addresses[n].tolist() == names[n].tolist()
     assert between - began < (time.perf_counter() - between) / 2
+
+
+def test_sizes_of_sets():
+    a, b = pd.Series(["ab cd", "x", None, "", "日本 日本"]), pd.Series(["cd ab ab", "xy", "x", "", "日本"])
+    got = similarity._sizes(a, b, 3)
+    assert got.columns.tolist() == ["n_words", "l_words", "r_words", "n_char3", "l_char3", "r_char3"]
+    assert [[None if pd.isna(v) else int(v) for v in r] for r in got.values] == [[2, 2, 2, 4, 5, 6], [0, 1, 1, 0, 0, 0], [None] * 6, [0] * 6, [1, 1, 1, 0, 3, 0]]
